@@ -71,3 +71,8 @@ def joined(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     offs = np.frombuffer(offsets, np.int64)[col.offset : col.offset + len(col) + 1]
     byte = np.frombuffer(data, np.uint8)[offs[0] : offs[-1]] if data is not None and len(col) else np.zeros(0, np.uint8)
     return byte, offs - offs[0]
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are done (it does so when the driver's JVM collects its garbage)."""
+    spark.sparkContext._jvm.System.gc()
