@@ -15,6 +15,8 @@ rows; a null doc_id is kept as it is.
 from __future__ import annotations
 
 import array
+import json
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -31,47 +33,51 @@ CAPACITY = 1024
 END_ID = 2
 NODES = 4000
 FILLINGS = 24
-MEMO = 400_000
-_memo: dict[str, tuple] = {}
+_loaded: dict[str, object] = {}
 
 
 class _Encoder:
-    """Ids of a text as little-endian 32-bit bytes. The pre-tokens of byte-level BPE are encoded alone, so each distinct one is encoded once per worker."""
+    """Ids of a text as little-endian 32-bit bytes, as ``tokenizers`` gives them for the file.
 
-    def __init__(self, path: str):
-        import os
+    Where the file is byte-level BPE whose ids follow the order of its merges (checked on loading), the merges run in tiktoken with the
+    file's own ids as ranks, about four times faster for equal ids. Texts that hold a special token's string, and other files, go through ``tokenizers``.
+    """
 
-        import public_tokenizers
-        import regex
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.ids: dict[str, bytes] = {}
+        self.fast = self._ranked(path)
+
+    @staticmethod
+    def _ranked(path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        vocab = model.get("vocab", {})
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not spec["normalizer"] and not spec["post_processor"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        if model["type"] != "BPE" or not plain or model.get("ignore_merges") or model.get("end_of_word_suffix") or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+            return None
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        shown = {chr(c): c for c in printable} | {chr(256 + i): c for i, c in enumerate(c for c in range(256) if c not in printable)}
+        ranks = {bytes(shown[c] for c in word): i for word, i in vocab.items()}
+        return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def bytes_of(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        split = [self.split(t) if i not in whole else [] for i, t in enumerate(texts)]
-        new = set().union(*split).difference(self.ids)
-        if len(self.ids) + len(new) > MEMO:
-            self.ids = {}
-            new = set().union(*split)
-        new = list(new)
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.ids[word] = array.array("I", e.ids).tobytes()
-        get = self.ids.__getitem__
-        out = [b"".join(map(get, ws)) for ws in split]
-        for i in whole:
-            out[i] = array.array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
-        return out
+        slow = lambda t: self.fast is None or any(s in t for s in self.special)
+        return [array.array("I", self.tokenizer.encode(t, add_special_tokens=False).ids if slow(t) else self.fast(t)).tobytes() for t in texts]
 
 
 def _encoder(path: str) -> _Encoder:
-    if path not in _memo:
-        _memo[path] = _Encoder(path)
-    return _memo[path]
+    if path not in _loaded:
+        _loaded[path] = _Encoder(path)
+    return _loaded[path]
 
 
 def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
