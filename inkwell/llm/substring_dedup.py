@@ -12,7 +12,10 @@ windows that chose it.
 1. Grams: an anchor whose gram name is unique is dropped, as none of its windows repeats.
 2. Neighbourhoods: the pair (name of its first window, name of its last) names all bytes of all its windows. The earliest anchor of each
    neighbourhood goes on; every window of the others repeats.
-3. Windows: where neighbourhoods still share a gram, their windows are named one by one; all but the earliest of each name repeat.
+3. Blocks: where neighbourhoods still share a gram, their windows are dealt into blocks of ``BLOCK`` by the anchor's place in them. All windows of a block hold
+   its core, the bytes that they have in common; a block whose core's name is unique is dropped. Blocks with the same bytes are settled like neighbourhoods. From here
+   on a neighbourhood carries its bytes, about 130, so the text is not read for it again.
+4. Windows: where blocks still share a core, their windows are named one by one; all but the earliest of each name repeat.
 
 Each step is a partial aggregate (first position per name) joined back, so a name with a third of all rows is neither
 collected nor dealt to one task. The removed ranges then meet their documents. Names that decide equality have 96 bits; they are made of
@@ -37,6 +40,7 @@ from .common import free_shuffles, joined, staged, table, unstaged
 
 LENGTH = 100
 GRAM = 32
+BLOCK = 8
 SEGMENT = 1 << 18
 _U = np.uint64
 
@@ -76,9 +80,9 @@ def window_names(grams: np.ndarray, at: np.ndarray, length: int, gram: int) -> t
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
-    """Over documents that lie one after the other: (document, first window's start in it, windows, gram name, neighbourhood names) by segment.
+    """Over documents that lie one after the other: (document, first window's start in it, windows, the gram's offset from there, gram name, neighbourhood names) by segment.
 
-    An anchor's windows may be cut in two by the end of a segment; step 3 handles both parts.
+    An anchor's windows may be cut in two by the end of a segment; steps 3 and 4 handle both parts.
     """
     for s in range(0, len(data) - length + 1, SEGMENT):
         text = data[s : s + SEGMENT + length - 1]
@@ -98,7 +102,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
         b1, b2 = window_names(grams, last, length, gram)
         shape = ((anchor - first) * 4096 + (last - first)).astype(np.uint64)
         doc = np.searchsorted(offsets, first + s, side="right") - 1
-        yield doc, first + s - offsets[doc], last - first + 1, grams[anchor], _pair(_pair(a1, b1, 107), shape, 108), _pair(_pair(a2, b2, 109), shape, 110) >> _U(32)
+        yield doc, first + s - offsets[doc], last - first + 1, anchor - first, grams[anchor], _pair(_pair(a1, b1, 107), shape, 108), _pair(_pair(a2, b2, 109), shape, 110) >> _U(32)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -108,74 +112,113 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = joined(batch, "text")
-        for doc, start, n, g, n1, n2 in anchors(data, offsets, length, gram):
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16)), _signed(g), _signed(n1), pa.array(n2.astype(np.uint32).view(np.int32))], ["id", "start", "n", "g", "n1", "n2"])
+        for doc, start, n, off, g, n1, n2 in anchors(data, offsets, length, gram):
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(off.astype(np.int16)), _signed(g), _signed(n1), pa.array(n2.astype(np.uint32).view(np.int32))], ["id", "start", "n", "off", "g", "n1", "n2"])
 
 
-def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, list[DataFrame]]:
-    """(id, start, stop): byte ranges of (id, text) rows whose every window repeats; and the staged tables it reads."""
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(id, start, stop): byte ranges of (id, text) rows whose every window repeats."""
     spark = docs.sparkSession
     kind = docs.schema["id"].dataType.simpleString()
     known = docs.where("id is not null and octet_length(text) >= %d" % length)
-    found = known.mapInArrow(lambda it: _rows(it, length, gram), f"id {kind}, start int, n smallint, g long, n1 long, n2 int")
+    found = known.mapInArrow(lambda it: _rows(it, length, gram), f"id {kind}, start int, n smallint, off smallint, g long, n1 long, n2 int")
 
     shared = found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
     live = staged(found.join(shared.hint("shuffle_hash"), "g"), "anchors")
     free_shuffles(spark)
 
-    classes = staged(live.groupBy("g", "n1", "n2").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "neighbourhoods")
+    classes = staged(live.groupBy("g", "n1", "n2").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n"), F.min("off").alias("off")), "neighbourhoods")
     several = classes.where("c > 1").select("g", "n1", "n2", "first")
     copies = staged(live.join(several.hint("shuffle_hash"), ["g", "n1", "n2"]).where("id != first.id or start != first.start").select("id", "start", F.expr(f"start + n + {length - 1}").alias("stop")), "copies")
     unstaged(live)
     free_shuffles(spark)
 
     unsettled = classes.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g")
-    parts = classes.join(unsettled.hint("shuffle_hash"), "g").groupBy(F.col("first.id").alias("id")).agg(F.collect_list(F.struct(F.col("first.start").alias("start"), "n")).alias("parts"))
+    parts = classes.join(unsettled.hint("shuffle_hash"), "g").groupBy(F.col("first.id").alias("id")).agg(F.collect_list(F.struct(F.col("first.start").alias("start"), F.col("n").cast("int").alias("n"), F.col("off").cast("int").alias("off"))).alias("parts"))
+    held = staged(known.join(parts, "id").select("id", "text", "parts").mapInArrow(lambda it: _held(it, length), f"id {kind}, start int, n int, off int, held binary"), "held")
+    unstaged(classes)
+    free_shuffles(spark)
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = joined(batch, "text")
-            lists = batch.column("parts")
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            flat = lists.flatten()
-            start, n = flat.field(0).to_numpy(zero_copy_only=False).astype(np.int64), flat.field(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.lexsort((start, row))
-            row, start, n = row[order], start[order], n[order]
-            for i in range(0, len(row), 20_000):
-                r, k = row[i : i + 20_000], n[i : i + 20_000]
-                r = np.repeat(r, k)
-                at = np.repeat(start[i : i + 20_000] - np.cumsum(k) + k, k) + np.arange(k.sum())
-                w1, w2 = _sparse_windows(data, offsets[r] + at, length, gram)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(r)), pa.array(at.astype(np.int32)), _signed(w1), pa.array(w2.astype(np.uint32).view(np.int32))], ["id", "start", "w1", "w2"])
-
-    windows = staged(known.join(parts, "id").select("id", "text", "parts").mapInArrow(name, f"id {kind}, start int, w1 long, w2 int"), "windows")
+    blocks = held.mapInArrow(lambda it: _blocks(it, length, gram), f"id {kind}, base int, start int, n smallint, core long, n1 long, n2 int")
+    cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core")
+    live = staged(blocks.join(cores.hint("shuffle_hash"), "core"), "blocks")
+    free_shuffles(spark)
+    classes = staged(live.groupBy("core", "n1", "n2").agg(F.min(F.struct("id", "start", "base")).alias("first"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "block-classes")
+    several = classes.where("c > 1").select("core", "n1", "n2", "first")
+    more = staged(live.join(several.hint("shuffle_hash"), ["core", "n1", "n2"]).where("id != first.id or start != first.start").select("id", "start", F.expr(f"start + n + {length - 1}").alias("stop")), "block-copies")
+    unstaged(live)
+    free_shuffles(spark)
+
+    unsettled = classes.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("core")
+    last = classes.join(unsettled.hint("shuffle_hash"), "core").select(F.col("first.id").alias("id"), F.col("first.base").alias("base"), (F.col("first.start") - F.col("first.base")).alias("skip"), F.col("n").cast("int").alias("n"))
+    with_bytes = last.join(held.select("id", F.col("start").alias("base"), "held"), ["id", "base"]).select("id", F.expr("base + skip").alias("start"), F.expr(f"substring(held, skip + 1, n + {length - 1})").alias("held"))
+    windows = staged(with_bytes.mapInArrow(lambda it: _windows(it, length, gram), f"id {kind}, start int, w1 long, w2 int"), "windows")
+    unstaged(classes)
+    unstaged(held)
     free_shuffles(spark)
     again = windows.groupBy("w1", "w2").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     later = windows.join(again.hint("shuffle_hash"), ["w1", "w2"]).where("id != first.id or start != first.start").select("id", "start", F.expr(f"start + {length}").alias("stop"))
-    return copies.union(later), [classes, copies, windows]
+    return copies.union(more).union(later)
 
 
-def _sparse_windows(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the windows at increasing positions, computed over the stretches that they cover."""
-    order = np.argsort(at, kind="stable")
-    p = at[order]
-    cut = np.flatnonzero(np.concatenate(([True], p[1:] > p[:-1] + length)))
-    stop = np.concatenate((cut[1:], [len(p)])) - 1
-    begin, size = p[cut], p[stop] + length - p[cut]
-    src = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
-    grams = gram_names(data[src], gram)
-    within = p - np.repeat(begin, np.diff(np.concatenate((cut, [len(p)])))) + np.repeat(np.cumsum(size) - size, np.diff(np.concatenate((cut, [len(p)]))))
-    w1, w2 = window_names(grams, within, length, gram)
-    out1, out2 = np.empty_like(w1), np.empty_like(w2)
-    out1[order], out2[order] = w1, w2
-    return out1, out2
+def _held(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of each listed neighbourhood."""
+    for batch in batches:
+        data, offsets = joined(batch, "text")
+        lists = batch.column("parts")
+        row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        for i in range(0, len(row), 50_000):
+            start, n, off = (flat.field(k).to_numpy(zero_copy_only=False)[i : i + 50_000] for k in range(3))
+            r, size = row[i : i + 50_000], n.astype(np.int64) + length - 1
+            ends = np.cumsum(size)
+            src = np.arange(ends[-1]) + np.repeat(offsets[r] + start - ends + size, size)
+            held = pa.BinaryArray.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(data[src])])
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(r)), pa.array(start), pa.array(n), pa.array(off), held], ["id", "start", "n", "off", "held"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    size = length - BLOCK + 1  # of a core
+    for part in (b.slice(i, 4000) for b in batches for i in range(0, b.num_rows, 4000)):
+        data, offsets = joined(part, "held")
+        grams = gram_names(data, gram)
+        start, n, off = (part.column(c).to_numpy().astype(np.int64) for c in ("start", "n", "off"))
+        for j in range(0, length - gram + 1, BLOCK):
+            low, high = np.maximum(j, off - n + 1), np.minimum(j + BLOCK - 1, off)
+            r = np.flatnonzero(low <= high)
+            if not len(r):
+                continue
+            low, high = low[r], high[r]
+            anchor = offsets[r] + off[r]
+            c = anchor - j
+            core = _pair(_pair(grams[c], grams[c + gram], 130 + j), grams[c + size - gram], 131 + j)
+            if size > 3 * gram:
+                core = _pair(core, grams[c + 2 * gram], 132 + j)
+            a1, a2 = window_names(grams, anchor - high, length, gram)
+            b1, b2 = window_names(grams, anchor - low, length, gram)
+            shape = (low * 4096 + high).astype(np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id").take(pa.array(r)), pa.array(start[r].astype(np.int32)), pa.array((start[r] + off[r] - high).astype(np.int32)), pa.array((high - low + 1).astype(np.int16)), _signed(core), _signed(_pair(_pair(a1, b1, 107), shape, 108)), pa.array((_pair(_pair(a2, b2, 109), shape, 110) >> _U(32)).astype(np.uint32).view(np.int32))],
+                ["id", "base", "start", "n", "core", "n1", "n2"],
+            )
+
+
+def _windows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    for part in (b.slice(i, 4000) for b in batches for i in range(0, b.num_rows, 4000)):
+        data, offsets = joined(part, "held")
+        grams = gram_names(data, gram)
+        n = np.diff(offsets) - length + 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        row = np.repeat(np.arange(part.num_rows), n)
+        w1, w2 = window_names(grams, offsets[row] + within, length, gram)
+        yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array((part.column("start").to_numpy()[row] + within).astype(np.int32)), _signed(w1), pa.array(w2.astype(np.uint32).view(np.int32))], ["id", "start", "w1", "w2"])
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row of docs: id, n_bytes, n_removed, spans (maximal removed byte ranges), kept (remaining bytes, binary)."""
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    ranges, _ = repeated_ranges(source, length, gram)
+    ranges = repeated_ranges(source, length, gram)
     per_doc = ranges.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
