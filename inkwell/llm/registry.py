@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
+from .jaccard_join import OP6_SQL, op6_ngram_jaccard_join
 from .packing import op3_best_fit_packing
 from .substring_dedup import op4_suffix_array_dedup
 
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
-ORACLES = {"op8_benchmark_decontamination": OP8_SQL}
+ORACLES = {"op6_ngram_jaccard_join": OP6_SQL, "op8_benchmark_decontamination": OP8_SQL}

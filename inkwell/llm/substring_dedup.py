@@ -123,7 +123,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     known = docs.where("id is not null and octet_length(text) >= %d" % length)
     found = known.mapInArrow(lambda it: _rows(it, length, gram), f"id {kind}, start int, n smallint, off smallint, g long, n1 long, n2 int")
 
-    shared = found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g")
+    # staged, so that it has an exchange of its own and Spark can split a frequent gram's rows in the join
+    shared = staged(found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"), "grams")
+    free_shuffles(spark)
     live = staged(found.join(shared.hint("shuffle_hash"), "g"), "anchors")
     free_shuffles(spark)
 
@@ -140,7 +142,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     free_shuffles(spark)
 
     blocks = held.mapInArrow(lambda it: _blocks(it, length, gram), f"id {kind}, base int, start int, n smallint, core long, n1 long, n2 int")
-    cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core")
+    cores = staged(blocks.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core"), "cores")
     live = staged(blocks.join(cores.hint("shuffle_hash"), "core"), "blocks")
     free_shuffles(spark)
     classes = staged(live.groupBy("core", "n1", "n2").agg(F.min(F.struct("id", "start", "base")).alias("first"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n")), "block-classes")
