@@ -11,10 +11,12 @@ Documents with equal sets form one class; only one set of each class goes on. Si
 The boundary is where the estimated cost of the subsets (their number over the histogram of sizes) stays below that of the lists. The global order is by
 (frequent or not, hash): shingles that many documents share come last, so that lists stay short. Any order gives the same links.
 
-A list is not expanded into all pairs. Its smallest class is the pivot and is verified with every other member; links found make components
-(min-label propagation over the link table, never on the driver). A list whose members are in one component is done. In the others, members outside the pivot's
-component are verified with the members of other components. All links between components are thus found, and no pair within one
-need be looked at. This gives exact components; how far pairs are cut short depends on the lists, never on a cap.
+A list is not expanded into all pairs. Its pivot (the smallest class, then, in lists that are still open, others chosen by a hash) is compared with every
+other member; links found make components (min-label propagation over the link table, never on the driver), and a list whose members are in one component
+is done. In what is left open, members of lighter components are compared with those of heavier ones, along so many of their shortest
+lists as must hold a common entry. All links between components are thus found, and no pair within one need be looked at: the components are exact.
+
+Before sets are compared, pairs must share as many entries as two linked sets of these sizes share at least in their prefixes; few others are left.
 
 Sets travel as 64-bit shingle hashes, and only those of classes in candidate pairs.
 
@@ -30,7 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, free_shuffles, raw, staged, table, unstaged
@@ -225,29 +227,40 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(sets))], ["id", "shingles"])
 
 
-def _verified(source: DataFrame, pairs: DataFrame, k: int, threshold: tuple[int, int]) -> DataFrame:
-    """Those of the staged pairs (a, b) that link."""
+def _needed(threshold: tuple[int, int]) -> tuple[str, str]:
+    """SQL for the sizes n and n2: whether they may link, and how many entries their prefixes then share at least."""
+    num, den = threshold
+    common = f"(({num} * (n + n2) + {num + den - 1}) div {num + den})"
+    return f"{den} * least(n, n2) >= {num} * greatest(n, n2)", f"({common} + 1 - greatest(({num} * n + {den - 1}) div {den}, ({num} * n2 + {den - 1}) div {den}))"
+
+
+def _verified(source: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, threshold: tuple[int, int], broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Those of the pairs (a, b, n, n2) that link."""
     spark, kind = source.sparkSession, source.schema["id"].dataType.simpleString()
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = staged(source.join(needed, "id").select("id", "text").mapInArrow(lambda it: _sets(it, k), f"id {kind}, shingles array<long>"), "sets")
-    free_shuffles(spark)
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    both = pairs.join(keys.select(F.col("rep").alias("a"), F.col("keys").alias("x")), "a").join(keys.select(F.col("rep").alias("b"), F.col("keys").alias("y")), "b")
+    close = staged(both.where(f"size(array_intersect(x, y)) >= {_needed(threshold)[1]}").select("a", "b"), "close")
+    needed = staged(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct(), "needed")
+    few = needed.count() <= broadcast_rows  # 8 MB of ids at most; else both sides are dealt by id
+    sets = staged(source.join(F.broadcast(needed) if few else needed, "id", "left_semi").mapInArrow(lambda it: _sets(it, k), f"id {kind}, shingles array<long>"), "sets")
+    both = close.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     linked = staged(both.where(threshold[1] * common >= threshold[0] * (F.size("x") + F.size("y") - common)).select("a", "b"), "linked")
-    unstaged(sets)
+    for t in (close, needed, sets):
+        unstaged(t)
     free_shuffles(spark)
     return linked
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, hints: int = 500_000, boundary: int | None = None) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, hints: int = 500_000, boundary: int | None = None, rounds: int = 3) -> DataFrame:
     """Per row of docs: id, n_shingles, component (the smallest id reachable by links).
 
     hints: so many of the most frequent shingles at most are put last in the order of the lists; others only make longer lists.
-    boundary: the largest light size, by cost if not given.
+    boundary: the largest light size, by cost if not given. rounds: pivots tried for each list before its rest is compared.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    fits, shared = _needed(threshold)
 
     sketch = staged(source.mapInArrow(lambda it: _sketch(it, shingle), f"id {kind}, n long, s1 long, s2 long, hot array<long>, hot_n array<long>"), "sketch")
     hot = sketch.where("hot is not null").select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).groupBy("x.hot").agg(F.sum("x.hot_n").alias("c")).orderBy(F.desc("c"), "hot").limit(hints)
@@ -262,50 +275,58 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     unstaged(sketch)
 
     listed = source.where("id is not null").mapInArrow(lambda it: _entries(it, shingle, boundary, shipped.value, threshold), f"key long, id {kind}, light boolean")
-    several = staged(listed.groupBy("key", "light").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "lists")
+    several = staged(listed.groupBy("key", "light").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "lists")
     free_shuffles(spark)
     reps = member.where("id is not null and n > 0").select("id", "rep", "n")
-    entries = listed.join(several.hint("shuffle_hash"), ["key", "light"]).where("id != pivot").groupBy("id", "pivot", "light").agg(F.count(F.lit(1)).alias("k"))
-    star = staged(_by_rep(entries, reps).where(f"light or {_fits(threshold)}").groupBy("a", "b").agg(F.max("light").alias("light")), "star")
-    free_shuffles(spark)
-    linked = _verified(source, star.where("not light").select("a", "b"), shingle, threshold)
-    links = star.where("light").select("a", "b").union(linked)
-    first = components(links, "components")
-
-    # lists that still hold members of several components
-    label = first.select(F.col("v").alias("rep"), F.col("c").alias("comp"))
-    known = staged(reps.join(label, "rep", "left").select("id", "rep", "n", F.coalesce("comp", "rep").alias("comp")), "labels")
-    heavy = listed.where("not light").join(several.where("not light").select("key", "pivot").hint("shuffle_hash"), "key")
-    head = known.select(F.col("id").alias("pivot"), F.col("comp").alias("pivot_comp"))
-    placed = staged(heavy.join(known, "id").join(head, "pivot").groupBy("key", "rep", "n", "comp", "pivot_comp").agg(F.count(F.lit(1)).alias("k")).drop("k"), "placed")
+    entries = staged(listed.join(several.hint("shuffle_hash"), ["key", "light"]).join(reps, "id").groupBy("key", "light", "rep", "n").agg(F.count(F.lit(1)).alias("k")).drop("k"), "entries")
+    unstaged(several)
     free_shuffles(spark)
-    outside = placed.where("comp != pivot_comp")
-    open_keys = outside.select("key").distinct()
-    inside = placed.join(open_keys, "key").select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), (F.col("comp") != F.col("pivot_comp")).alias("out2"))
-    cross = outside.join(inside, "key").where("comp != comp2 and rep != rep2 and (not out2 or rep < rep2)").where(_fits(threshold))
-    pairs = cross.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
-    rest = staged(pairs, "rest")
+
+    first = entries.where("light").groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "a")
+    links = staged(entries.where("light").join(first, "key").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "light-links")
+    heavy = staged(entries.where("not light").select("key", "rep", "n"), "heavy")
+    keys = staged(heavy.groupBy("rep").agg(F.collect_list("key").alias("keys")), "keys")  # at most a prefix each
+    vertices = reps.where("id = rep").select("rep", "n").distinct()
+    unstaged(entries)
+
+    tried = None
+    comps = components(links, "components")
+    for t in range(rounds):
+        label = comps.select(F.col("v").alias("rep"), F.col("c").alias("comp"))
+        heads = heavy.groupBy("key").agg(F.min("rep").alias("pivot") if not t else F.min_by("rep", F.xxhash64("rep", F.lit(t))).alias("pivot"))
+        pairs = heavy.join(heads, "key").where("rep != pivot").groupBy("rep", "pivot").agg(F.first("n").alias("n"))
+        sized = vertices.join(label, "rep", "left").select(F.col("rep").alias("pivot"), F.col("n").alias("n2"), F.coalesce("comp", "rep").alias("comp2"))
+        pairs = pairs.join(sized, "pivot").where(fits).join(label, "rep", "left").where("coalesce(comp, rep) != comp2")
+        pairs = pairs.groupBy(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2"))
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "pairs")
+        found = _verified(source, pairs, keys, shingle, threshold)
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
+        links = links.union(found)
+        comps = components(links, "components")
+
+    label = comps.select(F.col("v").alias("rep"), F.col("c").alias("comp"))
+    placed = heavy.join(label, "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    weight = vertices.join(label, "rep", "left").groupBy(F.coalesce("comp", "rep").alias("comp")).agg(F.count(F.lit(1)).alias("w"))
+    placed = staged(placed.join(weight, "comp"), "placed")
+    lists = placed.groupBy("key").agg(F.max(F.struct("w", "comp")).alias("main"), F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    opened = staged(placed.join(staged(lists.select("key", "main", "size"), "open-lists"), "key"), "open")
     unstaged(placed)
     free_shuffles(spark)
-    if rest.limit(1).count():
-        more = _verified(source, rest, shingle, threshold)
-        final = components(links.union(more), "components")
-    else:
-        final = first
+    # of two components the lighter one's member looks for the other's, in so many of its shortest lists as must hold a common entry
+    mine = Window.partitionBy("rep")
+    outside = opened.withColumn("nth", F.row_number().over(mine.orderBy("size", "key"))).withColumn("held", F.count(F.lit(1)).over(mine)).where("comp != main.comp").drop("main", "size")
+    inside = opened.select(F.col("key").alias("key2"), F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("w").alias("w2"))
+    cross = outside.join(inside, F.expr(f"key = key2 and comp != comp2 and (w < w2 or w = w2 and comp < comp2) and {fits} and nth <= held + 1 - {shared}"))
+    rest = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2")).join(tried, ["a", "b"], "left_anti")
+    rest = staged(rest, "rest")
+    unstaged(opened)
+    free_shuffles(spark)
+    final = components(links.union(_verified(source, rest, keys, shingle, threshold)), "components") if rest.limit(1).count() else comps
     return member.join(final.select(F.col("v").alias("rep"), F.col("c").alias("comp")), "rep", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.expr("if(n > 0, coalesce(comp, rep), id)").alias("component"))
 
 
-def _fits(threshold: tuple[int, int]) -> str:
-    return f"{threshold[1]} * least(n, n2) >= {threshold[0]} * greatest(n, n2)"
-
-
-def _by_rep(entries: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, n, n2, light): pairs of class representatives, a < b."""
-    one = reps.select("id", F.col("rep").alias("r"), "n")
-    two = reps.select(F.col("id").alias("pivot"), F.col("rep").alias("r2"), F.col("n").alias("n2"))
-    return entries.join(one, "id").join(two, "pivot").where("r != r2").select(F.least("r", "r2").alias("a"), F.greatest("r", "r2").alias("b"), "n", "n2", "light")
-
-
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("component", "component_id")
 
