@@ -216,9 +216,14 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Itera
         yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), pa.array((part.column("start").to_numpy()[row] + within).astype(np.int32)), _signed(w1), pa.array(w2.astype(np.uint32).view(np.int32))], ["id", "start", "w1", "w2"])
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per row of docs: id, n_bytes, n_removed, spans (maximal removed byte ranges), kept (remaining bytes, binary)."""
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, as_text: bool = False) -> DataFrame:
+    """Per row of docs: id, n_bytes, n_removed, spans (maximal removed byte ranges), kept (remaining bytes, binary), row (the other columns of docs).
+
+    as_text: kept as a string instead; a character that was cut into loses its other bytes too.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"))
+    row_kind = rows.schema["row"].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     ranges = repeated_ranges(source, length, gram)
     per_doc = ranges.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
@@ -238,9 +243,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 kept = b"".join(text[x:y] for x, y in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(text)], strict=True)) if spans else text
                 out.append((len(text), len(text) - len(kept), [{"start": x, "stop": y} for x, y in spans], kept))
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), pa.array(cols[3], pa.binary())], ["id", "n_bytes", "n_removed", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), pa.array([k.decode("utf-8", "ignore") for k in cols[3]], pa.string()) if as_text else pa.array(cols[3], pa.binary())], ["id", "row", "n_bytes", "n_removed", "spans", "kept"])
 
-    out = source.join(per_doc, "id", "left").select("id", "text", "ranges").mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept binary")
+    out = rows.join(per_doc, "id", "left").select("id", "text", "row", "ranges").mapInArrow(cut, f"id {kind}, row {row_kind}, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept {'string' if as_text else 'binary'}")
     return out.withColumnRenamed("id", id_col)
 
 
