@@ -66,7 +66,7 @@ class Scores(dict):
 
 def log_odds(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other: int) -> dict[str, float]:
     """Lower estimates of the log-odds of units, each with its shorter beginning's share as prior mean."""
-    base = n_toxic / (n_toxic + n_other)
+    base = min(1 - 1e-6, max(1e-6, n_toxic / (n_toxic + n_other)))
     share: dict[str, float] = {}
     out = {}
 
@@ -80,7 +80,7 @@ def log_odds(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other
 
     for u in sorted(toxic, key=lambda u: (len(u.rstrip("*")), not u.endswith("*"), u)):
         a, b, prior = toxic[u], other.get(u, 0), mean(u)
-        p = share[u] = (a + PRIOR * prior) / (a + b + PRIOR)
+        p = share[u] = min(1 - 1e-6, max(1e-6, (a + PRIOR * prior) / (a + b + PRIOR)))
         error = math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
         low = math.log(p / (1 - p)) - math.log(base / (1 - base)) - error
         out[u] = low if low >= LEAST else 0.0
