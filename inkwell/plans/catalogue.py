@@ -1,10 +1,158 @@
-"""The named queries of the engine and the SQL that they are held against."""
+"""The named queries of the engine and the SQL that they are held against. Works are sources, chapters documents in order of their id."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from ..functions.text import natural_key, occurrences, slug
+from ..operators import integrity, metrics, review, rules, segment
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _docs(spark, d, *extra: str) -> DataFrame:
+    return _read(spark, d, "documents").select("doc_id", *extra, "text")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gate row per work: chapter metrics, length flags and surface counts to blockers."""
+    docs = _docs(spark, sf_dir, "source")
+    total = metrics.text_inspection(metrics.chapter_metrics(docs), "source")
+    marks = review.flags(docs, rules.LATIN_FACTS).groupBy("source").agg(F.count_if(F.col("rule") == "license").alias("license_lines"), F.count_if(F.col("rule") == "email").alias("email_lines"))
+    out = total.join(marks, "source", "left").na.fill(0, ["license_lines", "email_lines"])
+    blockers = F.array_compact(F.array(*[F.when(F.col(c) > 0, F.lit(b)) for c, b in (("chapters_below_minimum", "chapter_length"), ("email_lines", "personal_data"), ("license_lines", "license_text"))]))
+    return out.select("source", "chapters", "chars", "chapters_below_minimum", "license_lines", "email_lines", F.array_join(blockers, ",").alias("blockers"), (F.size(blockers) == 0).alias("ready"))
+
+
+def _sentence_stats(spark, d):
+    return segment.sentences(_docs(spark, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.sum(F.length("sentence").cast("long")).alias("chars"))
+
+
+def _line_stats(spark, d):
+    return segment.lines(_docs(spark, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.max("line_no").cast("long").alias("last_line"), F.sum(F.length("line").cast("long")).alias("chars"))
+
+
+def _works(spark, d):
+    docs, labels = _read(spark, d, "documents").select("doc_id", "source"), _read(spark, d, "labels").select("doc_id", "quality")
+    j = docs.join(labels, "doc_id", "left")
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("runs"), F.max("doc_id").alias("latest_run"), F.count_if(F.col("quality") == 0).alias("pending"), F.max_by("quality", "doc_id").alias("latest_state"))
+
+
+def _facts(spark, d):
+    return review.facts(_docs(spark, d), rules.LATIN_FACTS).groupBy("doc_id", "kind").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first_value"), F.min("line_no").cast("long").alias("first_line"))
+
+
+def _missing(spark, d):
+    return integrity.missing_episodes(_read(spark, d, "orders").select(F.col("o_custkey").alias("work"), F.pmod("o_orderkey", F.lit(97)).alias("number")), "work", "number")
+
+
+def _duplicates(spark, d):
+    return integrity.duplicate_episodes(_read(spark, d, "orders").select(F.col("o_custkey").alias("work"), F.pmod("o_orderkey", F.lit(97)).alias("number")), "work", "number")
+
+
+def _edits(spark, d):
+    at = F.transform(occurrences(F.col("text"), "tion"), lambda p: F.struct(p.alias("start"), (p + 4).alias("stop"), F.lit("sion").alias("replacement")))
+    out = integrity.apply_edits(_docs(spark, d).withColumn("edits", at))
+    return out.select("doc_id", F.size("edits").cast("long").alias("n"), F.sha2("text", 256).alias("sha256"))
+
+
+QUERIES = {
+    "submission_gate": flagship,
+    "chapter_metrics": lambda s, d: metrics.chapter_metrics(_docs(s, d)),
+    "chapter_length_flags": lambda s, d: metrics.chapter_metrics(_docs(s, d)).where("below_minimum").select("doc_id", "chars", "deficit", F.lit("P1").alias("severity")),
+    "text_inspection": lambda s, d: metrics.text_inspection(metrics.chapter_metrics(_docs(s, d, "source")), "source"),
+    "line_stats": _line_stats,
+    "sentence_stats": _sentence_stats,
+    "facts_latin": _facts,
+    "hygiene_flags": lambda s, d: review.flags(_read(s, d, "pages").select("page_id", F.col("html").alias("text")), rules.HYGIENE).groupBy("page_id", "rule").agg(F.count(F.lit(1)).alias("n")),
+    "typography_flags": lambda s, d: review.typography(_docs(s, d)),
+    "term_density": lambda s, d: metrics.term_density(_docs(s, d), rules.LATIN_TERMS, 16.0, 90.0),
+    "starter_repetition": lambda s, d: metrics.repetition(_docs(s, d), "doc_id"),
+    "ending_repetition": lambda s, d: metrics.repetition(_docs(s, d), "doc_id", last=True, weight=10.0),
+    "length_uniformity": lambda s, d: metrics.length_uniformity(_docs(s, d), "doc_id"),
+    "replay_candidates": lambda s, d: review.replay(_docs(s, d, "source"), "source", "doc_id"),
+    "works_catalog": _works,
+    "missing_episodes": _missing,
+    "duplicate_episodes": _duplicates,
+    "apply_changes": _edits,
+    "occurrence_suffix": lambda s, d: _read(s, d, "orders").select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey", "o_orderpriority").orderBy("o_orderkey")).cast("long").alias("nth")),
+    "natural_sort_key": lambda s, d: _read(s, d, "pages").select("page_id", natural_key(F.col("url")).alias("sort_key")),
+    "work_slug": lambda s, d: _read(s, d, "part").select("p_partkey", slug(F.col("p_name")).alias("slug")),
+    "delivery_hash": lambda s, d: _docs(s, d).select("doc_id", F.upper(F.sha2("text", 256)).alias("sha256"), F.octet_length("text").cast("long").alias("bytes")),
+}
+
+_LINES = "CASE WHEN ends_with(text, chr(10)) OR text = '' THEN string_split(text, chr(10))[:-2] ELSE string_split(text, chr(10)) END"
+_L = f"SELECT *, {_LINES} AS l FROM documents"
+_METRICS = f"""
+SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars, CAST(length(regexp_replace(text, '\\s+', '', 'g')) AS BIGINT) AS chars_no_space, length(text) < 4000 AS below_minimum,
+  CAST(greatest(4000 - length(text), 0) AS BIGINT) AS deficit, CAST(len(l) AS BIGINT) AS lines, CAST(len(list_filter(l, lambda x: trim(x) <> '')) AS BIGINT) AS non_empty_lines,
+  CAST(len(list_filter(l, lambda x: length(x) >= 120)) AS BIGINT) AS lines_120, CAST(len(list_filter(l, lambda x: length(x) >= 200)) AS BIGINT) AS lines_200,
+  CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS bangs, CAST(length(text) - length(replace(text, '?', '')) AS BIGINT) AS questions FROM ({_L})
+"""
+_LINE_ROWS = f"SELECT doc_id, source, unnest(l) AS line, generate_subscripts(l, 1) AS line_no FROM ({_L})"
+_SENTENCES = r"SELECT doc_id, s FROM (SELECT doc_id, trim(regexp_replace(unnest(regexp_split_to_array(regexp_replace(text, '([.!?。？！])', E'\\1\n', 'g'), E'[\r\n]+')), '\s+', ' ', 'g')) AS s FROM documents) WHERE length(s) BETWEEN 8 AND 240"
+_INSPECT = f"""SELECT source, count(*) AS chapters, count(*) FILTER (below_minimum) AS chapters_below_minimum, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("chars", "chars_no_space", "lines", "non_empty_lines", "lines_120", "lines_200", "bangs", "questions"))}
+FROM ({_METRICS}) GROUP BY source"""
+
+
+def _rows_for(pack: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT doc_id, line_no, '{k}' AS kind, unnest(regexp_extract_all(line, '{p}')) AS value FROM ({_LINE_ROWS})" for k, p in pack.items())
+
+
+def _repeat_sql(side: str, weight: float) -> str:
+    return f"""
+WITH s AS (SELECT doc_id, regexp_replace(s, '\\s+', '', 'g') AS b FROM ({_SENTENCES})),
+t AS (SELECT doc_id, CASE WHEN length(b) >= 10 THEN {side}(b, 8) END AS token, count(*) AS n FROM s GROUP BY ALL)
+SELECT doc_id, CAST(sum(n) AS BIGINT) AS sentences, CAST(coalesce(sum(n - 3) FILTER (n >= 4 AND token IS NOT NULL), 0) AS BIGINT) AS surplus,
+  round(least(coalesce(sum(n - 3) FILTER (n >= 4 AND token IS NOT NULL), 0) * 100.0::DOUBLE / sum(n) / 4 * {weight}, {weight}), 1) AS score
+FROM t GROUP BY doc_id HAVING sum(n) >= 30"""
+
+
+_HITS = " + ".join(f"CAST((length(text) - length(replace(text, '{t}', ''))) / {len(t)} AS BIGINT)" for t in rules.LATIN_TERMS)
+_ORDERS = "SELECT o_custkey AS work, o_orderkey % 97 AS number FROM orders"
+_QUOTED = "length(line) - length(replace(line, '\"', ''))"
+_STYLE = "regexp_replace(regexp_replace(line, '([A-Za-z])''([A-Za-z])', '\\1\\2', 'g'), '([A-Za-z])''([A-Za-z])', '\\1\\2', 'g')"
+
+ORACLES = {
+    "submission_gate": f"""
+WITH m AS (SELECT source, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["license"]}')) AS license_lines, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["email"]}')) AS email_lines FROM ({_LINE_ROWS}) GROUP BY source)
+SELECT i.source, chapters, chars, chapters_below_minimum, coalesce(license_lines, 0) AS license_lines, coalesce(email_lines, 0) AS email_lines,
+  concat_ws(',', CASE WHEN chapters_below_minimum > 0 THEN 'chapter_length' END, CASE WHEN coalesce(email_lines, 0) > 0 THEN 'personal_data' END, CASE WHEN coalesce(license_lines, 0) > 0 THEN 'license_text' END) AS blockers,
+  chapters_below_minimum = 0 AND coalesce(email_lines, 0) = 0 AND coalesce(license_lines, 0) = 0 AS ready FROM ({_INSPECT}) i LEFT JOIN m USING (source)""",
+    "chapter_metrics": f"SELECT * EXCLUDE (source) FROM ({_METRICS})",
+    "chapter_length_flags": f"SELECT doc_id, chars, deficit, 'P1' AS severity FROM ({_METRICS}) WHERE below_minimum",
+    "text_inspection": _INSPECT,
+    "line_stats": f"SELECT doc_id, count(*) AS lines, max(line_no) AS last_line, CAST(sum(length(line)) AS BIGINT) AS chars FROM ({_LINE_ROWS}) GROUP BY doc_id",
+    "sentence_stats": f"SELECT doc_id, count(*) AS sentences, CAST(sum(length(s)) AS BIGINT) AS chars FROM ({_SENTENCES}) GROUP BY doc_id",
+    "facts_latin": f"SELECT doc_id, kind, count(*) AS n, min(value) AS first_value, min(line_no) AS first_line FROM ({_rows_for(rules.LATIN_FACTS)}) GROUP BY doc_id, kind",
+    "hygiene_flags": " UNION ALL ".join(f"SELECT page_id, '{k}' AS rule, count(*) AS n FROM (SELECT page_id, unnest(string_split(html, chr(10))) AS line FROM pages) WHERE regexp_matches(line, '{p}') GROUP BY page_id" for k, p in rules.HYGIENE.items()),
+    "typography_flags": " UNION ALL ".join(
+        f"SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, '{k}' AS kind, CAST({n} AS BIGINT) AS n FROM ({_LINE_ROWS}) WHERE {n} > 0"
+        for k, n in (("straight_double_quote", _QUOTED), ("straight_single_quote", f"(length({_STYLE}) - length(replace({_STYLE}, '''', '')))"), ("ascii_ellipsis", "len(regexp_extract_all(line, '\\.{3,}'))"))
+    ),
+    "term_density": f"SELECT doc_id, hits, density, round(least(greatest(density / 90.0::DOUBLE * 16, 0), 16), 1) AS score FROM (SELECT doc_id, {_HITS} AS hits, round(({_HITS}) / greatest(length(text) / 10000.0::DOUBLE, 1), 3) AS density FROM documents)",
+    "starter_repetition": _repeat_sql("left", 14.0),
+    "ending_repetition": _repeat_sql("right", 10.0),
+    "length_uniformity": f"""
+SELECT doc_id, sentences, round(cv, 3) AS cv, round(least(greatest((0.55::DOUBLE - cv) / 0.25 * 8, 0), 8), 1) AS score FROM (
+  SELECT doc_id, count(*) AS sentences, stddev_pop(n) / avg(n) AS cv FROM (SELECT doc_id, length(regexp_replace(s, '\\s+', '', 'g')) AS n FROM ({_SENTENCES}) WHERE length(s) <= 220) GROUP BY doc_id) WHERE sentences >= 50""",
+    "replay_candidates": f"""
+WITH e AS (SELECT source, doc_id, l[1:20] AS h, l[greatest(len(l) - 19, 1):] AS t FROM ({_L})),
+c AS (SELECT source, doc_id, list_filter(list_transform(h, lambda x: left(trim(regexp_replace(x, '\\s+', ' ', 'g')), 160)), lambda x: length(x) >= 12 AND x <> '***') AS h,
+  list_filter(list_transform(t, lambda x: left(trim(regexp_replace(x, '\\s+', ' ', 'g')), 160)), lambda x: length(x) >= 12 AND x <> '***') AS t FROM e),
+p AS (SELECT source, lag(doc_id) OVER w AS previous, doc_id, list_sort(list_distinct(list_intersect(lag(t) OVER w, h))) AS same FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id))
+SELECT source, previous, doc_id, CAST(len(same) AS BIGINT) AS shared, array_to_string(same[1:5], chr(10)) AS samples FROM p WHERE len(same) > 0""",
+    "works_catalog": "SELECT source, count(*) AS runs, max(doc_id) AS latest_run, count(*) FILTER (quality = 0) AS pending, arg_max_null(quality, doc_id) AS latest_state FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source",
+    "missing_episodes": f"""
+WITH r AS (SELECT DISTINCT work, number FROM ({_ORDERS})), b AS (SELECT work, unnest(generate_series(min(number), max(number))) AS number FROM r GROUP BY work)
+SELECT * FROM b ANTI JOIN r USING (work, number)""",
+    "duplicate_episodes": f"SELECT work, number, count(*) AS n FROM ({_ORDERS}) GROUP BY ALL HAVING count(*) > 1",
+    "apply_changes": "SELECT doc_id, CAST((length(text) - length(replace(text, 'tion', ''))) / 4 AS BIGINT) AS n, sha256(replace(text, 'tion', 'sion')) AS sha256 FROM documents",
+    "occurrence_suffix": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey) AS nth FROM orders",
+    "natural_sort_key": r"SELECT page_id, array_to_string(list_transform(regexp_extract_all(lower(url), '\d+|\D+'), lambda p: CASE WHEN regexp_matches(p, '^\d') THEN lpad(p, 20, '0') ELSE p END), '') AS sort_key FROM pages",
+    "work_slug": r"SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(p_name)), '\s+', '-', 'g'), '[^0-9A-Za-z가-힣_.-]', '', 'g'), '-{2,}', '-', 'g'), '^[-.]+|[-.]+$', '', 'g') AS slug FROM part",
+    "delivery_hash": "SELECT doc_id, upper(sha256(text)) AS sha256, CAST(strlen(text) AS BIGINT) AS bytes FROM documents",
+}
