@@ -20,7 +20,11 @@ def duplicate_episodes(rows: DataFrame, work: str, number: str) -> DataFrame:
 
 
 def apply_edits(docs: DataFrame, edits: str = "edits", text: str = "text") -> DataFrame:
-    """Replace spans (array of start, stop, replacement; 0-based, not overlapping) from the last to the first, so that positions hold; null or no edits leave the text."""
-    ordered = F.sort_array(F.coalesce(F.col(edits), F.array().cast("array<struct<start:int,stop:int,replacement:string>>")), asc=False)
-    done = F.aggregate(ordered, F.col(text), lambda t, e: F.concat(F.substring(t, F.lit(1), e.start), e.replacement, F.substring(t, e.stop + 1, F.length(t))))
-    return docs.withColumn(text, done)
+    """Replace spans (array of start, stop, replacement; 0-based positions in the given text, not overlapping); null or no edits leave the text."""
+    given = F.coalesce(F.col(edits), F.array().cast("array<struct<start:int,stop:int,replacement:string>>"))
+    ordered = F.sort_array(given)
+    # each edit gives what stands between it and the one before, then its replacement: the text is cut once, not copied per edit
+    before = F.concat(F.array(F.lit(0)), F.transform(ordered, lambda e: e.stop))
+    pieces = F.zip_with(ordered, F.slice(before, 1, F.size(ordered)), lambda e, b: F.concat(F.substring(F.col(text), b + 1, e.start - b), e.replacement))
+    last = F.get(before, F.size(before) - 1)
+    return docs.withColumn(text, F.concat(F.array_join(pieces, ""), F.substring(F.col(text), last + 1, F.length(text))))

@@ -6,11 +6,17 @@ from __future__ import annotations
 FACTS = {
     "absolute_date": r"(?:\d{4}년\s*)?\d{1,2}월\s*\d{1,2}일|\d{4}[./-]\d{1,2}[./-]\d{1,2}",
     "relative_time": r"오늘|내일|어제|다음 날|그날 밤|며칠 후|몇 시간 후|잠시 후|한 달 후|이틀 뒤|사흘 뒤|보름 뒤|일 년 후",
+    "date": r"(?:\d{4}년\s*)?\d{1,2}월\s*\d{1,2}일|\d{4}[./-]\d{1,2}[./-]\d{1,2}|(?:오늘|내일|어제|다음 날|그날 밤|며칠 후|몇 시간 후|잠시 후|한 달 후|이틀 뒤|사흘 뒤|보름 뒤|일 년 후)",
     "date_with_weekday": r"(?:\d{4}년\s*)?\d{1,2}월\s*\d{1,2}일\s*(?:월|화|수|목|금|토|일)요일",
     "time": r"(?:오전|오후|새벽|정오|자정)\s*\d{1,2}시(?:\s*\d{1,2}분)?|\d{1,2}:\d{2}",
     "money": r"\d+(?:\.\d+)?\s*(?:억|조|만|천만|백만)?\s*(?:원|달러|위안|엔|냥|관|전)",
     "percent": r"\d+(?:\.\d+)?\s*%|\d+(?:\.\d+)?\s*퍼센트",
     "age": r"\d{1,3}\s*세|약관|이립|불혹|지천명|환갑|고희",
+    "title_or_role": r"[가-힣A-Za-z0-9]{2,20}\s*(?:회장|대표|팀장|부장|과장|실장|장로|궁주|맹주|소저|공자|도련님|사부|스승|PB)",
+    "kin_title": r"[가-힣A-Za-z0-9]{1,20}\s*(?:아버지|어머니|부친|모친|숙부|숙모|형님|누님|오라버니|동생|사촌|정혼자|장인|장모|사위|며느리|할아버지|할머니)",
+    "speaker_cue": r"[가-힣A-Za-z0-9]{2,20}(?:이|가|은|는)?\s*(?:말했다|물었다|중얼거렸다|외쳤다|답했다|웃었다|고개를 끄덕였다)",
+    "inline_author_memo": r"@\s*(?:부연|추가|메모|수정|확인)[^\n]*|^\s*@\S+[^\n]*",
+    "era_or_modern_tone_candidate": r"스마트폰|핸드폰|인터넷|온라인|브리핑|쇼|퍼즐|레이저|스파크|타이밍|스위치|스포일러|콤비|갑질|독고다이",
     "inline_paren_error": r"/[^/\n]{1,80}\([^)\n]{1,80}\)/|//[^/\n]{1,120}//",
 }
 HYGIENE = {
@@ -24,6 +30,9 @@ HYGIENE = {
 SURFACE = {
     "chapter_end_meta": r"\(제\s*\d+\s*화\s*끝\)",
     "part_end_meta": r"\(파트\s*\d+\s*완결\)|\(.*?완결\s*\)",
+    "legacy_name_parenthetical": r"[A-Za-z가-힣0-9·]+\(구\s*[^)\n]{1,30}\)",
+    "english_parenthetical_gloss": r"[A-Za-z][A-Za-z0-9 ,.!?'\-…]{2,80}\([가-힣][^)\n]{1,60}\)",
+    "placeholder_surface": r"(?<![A-Za-z0-9가-힣])[A-D]사(?=$|[\s,.;:!?)]|[은는이가을를과와도에의])|20XX|XX년|OOO|○○",
     "internal_memo_surface": r"TODO|FIXME|검수자|편집자\s*메모|작가\s*메모|내부\s*메모|수정\s*필요",
     "ai_tool_surface": r"ChatGPT|GPT-|AI-slop|ai-slop|인공지능이\s*작성",
 }

@@ -71,7 +71,10 @@ def test_chapters(spark):
 def test_facts_and_flags(spark):
     df = spark.createDataFrame([(1, "2024년 3월 5일 오전 9시 30분\n가격은 3억 원, 12.5%"), (2, None)], "id int, text string")
     got = {(r.kind, r.value, r.line_no) for r in review.facts(df, rules.FACTS).collect()}
-    assert got == {("absolute_date", "2024년 3월 5일", 1), ("time", "오전 9시 30분", 1), ("money", "3억 원", 2), ("percent", "12.5%", 2)}
+    assert got == {("absolute_date", "2024년 3월 5일", 1), ("date", "2024년 3월 5일", 1), ("time", "오전 9시 30분", 1), ("money", "3억 원", 2), ("percent", "12.5%", 2)}
+    df = spark.createDataFrame([(1, "김철수 팀장이 민수 형님께 물었다"), (2, "A사가 (제 3화 끝) 20XX")], "id int, text string")
+    assert {(r.kind, r.value) for r in review.facts(df, {k: rules.FACTS[k] for k in ("title_or_role", "kin_title")}).collect()} == {("title_or_role", "김철수 팀장"), ("kin_title", "민수 형님")}
+    assert {r.rule for r in review.flags(df, rules.SURFACE).collect()} == {"placeholder_surface", "chapter_end_meta"}
     df = spark.createDataFrame([(1, "@메모 고칠 것\n# 제목\n<s>x</s> &amp;\nⓐ{가|나}")], "id int, text string")
     assert [(r.line_no, r.rule) for r in review.flags(df, rules.HYGIENE).orderBy("line_no", "rule").collect()] == [(1, "author_note_marker"), (2, "markdown_header"), (3, "html_entity"), (3, "strike_marker"), (4, "correction_marker")]
 
