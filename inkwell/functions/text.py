@@ -83,3 +83,14 @@ def occurrences(text: Column, needle: str) -> Column:
 
 def count_of(text: Column, term: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(term), F.lit("")))) / F.lit(len(term))).cast("long")
+
+
+def html_body(html: Column) -> Column:
+    """Body text of possibly broken HTML by patterns alone: what is no text goes, block tags part lines, the common entities are decoded, blank lines go."""
+    out = F.regexp_replace(html, r"(?is)<(head|script|style|svg|nav|header|footer|aside)\b.*?</\1\s*>", " ")
+    out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
+    out = F.regexp_replace(out, r"(?i)</?(?:p|div|h[1-6]|li|ul|ol|br|tr|table|blockquote|section|article|body)\b[^>]*>", "\n")
+    out = F.regexp_replace(out, "<[^>]+>", "")
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(sign))
+    return F.array_join(F.filter(F.transform(F.split(out, "\n"), clean_inline), lambda x: x != ""), "\n")

@@ -52,3 +52,11 @@ def length_uniformity(docs: DataFrame, key: str) -> DataFrame:
     s = sentences(docs.select(key, "text")).where(F.length("sentence") <= 220).withColumn("n", F.length(F.regexp_replace("sentence", r"\s+", "")))
     out = s.groupBy(key).agg(F.count(F.lit(1)).alias("sentences"), (F.stddev_pop("n") / F.avg("n")).alias("cv")).where("sentences >= 50")
     return out.select(key, "sentences", F.round("cv", 3).alias("cv"), F.round(F.least(F.greatest((0.55 - F.col("cv")) / 0.25 * 8, F.lit(0.0)), F.lit(8.0)), 1).alias("score"))
+
+
+def brick_lines(docs: DataFrame, key: str, weight: float = 6.0, divisor: float = 8.0) -> DataFrame:
+    """Stripped lines of 160 characters or more per 10,000 characters, and their score."""
+    n = F.size(F.filter(lines_of(F.col("text")), lambda x: F.length(F.trim(x)) >= 160)).cast("long")
+    out = docs.select(key, n.alias("bricks"), F.length("text").alias("chars"))
+    value = F.col("bricks") / F.greatest(F.col("chars") / 10000, F.lit(1.0))
+    return out.select(key, "bricks", F.round(value, 3).alias("density"), F.round(F.least(value / divisor * weight, F.lit(weight)), 1).alias("score"))

@@ -42,3 +42,22 @@ def replay(chapters: DataFrame, work: str, order: str, text: str = "text", edge:
     w = Window.partitionBy(work).orderBy(order)
     pairs = edges.select(work, F.lag(order).over(w).alias("previous"), order, F.array_sort(F.array_intersect(F.lag("tail").over(w), F.col("head"))).alias("same"))
     return pairs.where("size(same) > 0").select(work, "previous", order, F.size("same").cast("long").alias("shared"), F.array_join(F.slice("same", 1, 5), "\n").alias("samples"))
+
+
+def bridge(chapters: DataFrame, work: str, order: str, anchor: str, text: str = "text", edge: int = 5) -> DataFrame:
+    """Adjacent chapters with a weak transition: (work, previous, order, signals): a short head, no time anchor in it, or an open ending that the head does not take up."""
+    rows = F.filter(F.transform(lines_of(F.col(text)), lambda x: F.left(clean_inline(x), F.lit(160))), lambda x: (F.length(x) >= 12) & (x != "***"))
+    edges = chapters.select(work, order, F.slice(rows, 1, edge).alias("head"), F.slice(rows, F.greatest(F.size(rows) - edge + 1, F.lit(1)), edge).alias("tail"))
+    w = Window.partitionBy(work).orderBy(order)
+    pairs = edges.select(work, F.lag(order).over(w).alias("previous"), order, F.array_join("head", "\n").alias("h"), F.lag("tail").over(w).alias("t")).where("previous is not null")
+    last = F.get("t", F.size("t") - 1)
+    taken = F.exists("t", lambda x: F.contains(F.col("h"), F.left(x, F.lit(20))))
+    signals = F.array_compact(F.array(F.when(F.length("h") < 80, F.lit("short_head")), F.when(~F.col("h").rlike(anchor), F.lit("no_time_anchor")), F.when(last.rlike("[?!…]$") & ~taken, F.lit("open_ending"))))
+    return pairs.select(work, "previous", order, F.array_join(signals, ",").alias("signals")).where("signals != ''")
+
+
+def spacing(turns: DataFrame, group: str, order: str, kind: str) -> DataFrame:
+    """Consecutive rows of a group and the blank lines wanted between them: none where the kind stays, one where it changes."""
+    w = Window.partitionBy(group).orderBy(order)
+    pairs = turns.select(group, order, F.lag(order).over(w).alias("previous"), F.lag(kind).over(w).alias("was"), F.col(kind).alias("now")).where("previous is not null")
+    return pairs.select(group, order, (F.col(order) - F.col("previous") - 1).cast("long").alias("blanks"), F.when(F.col("was").eqNullSafe(F.col("now")), 0).otherwise(1).cast("long").alias("wanted"))

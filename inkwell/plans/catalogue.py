@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import natural_key, occurrences, slug
+from ..functions.text import html_body, natural_key, occurrences, slug
 from ..operators import integrity, metrics, review, rules, segment
 
 
@@ -38,7 +38,7 @@ def _line_stats(spark, d):
 def _works(spark, d):
     docs, labels = _read(spark, d, "documents").select("doc_id", "source"), _read(spark, d, "labels").select("doc_id", "quality")
     j = docs.join(labels, "doc_id", "left")
-    return j.groupBy("source").agg(F.count(F.lit(1)).alias("runs"), F.max("doc_id").alias("latest_run"), F.count_if(F.col("quality") == 0).alias("pending"), F.max_by("quality", "doc_id").alias("latest_state"))
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("runs"), F.max("doc_id").alias("latest_run"), F.count_if(F.col("quality") == 0).alias("pending"), F.coalesce(F.max_by("quality", "doc_id"), F.lit(-1)).alias("latest_state"))
 
 
 def _facts(spark, d):
@@ -74,6 +74,10 @@ QUERIES = {
     "ending_repetition": lambda s, d: metrics.repetition(_docs(s, d), "doc_id", last=True, weight=10.0),
     "length_uniformity": lambda s, d: metrics.length_uniformity(_docs(s, d), "doc_id"),
     "replay_candidates": lambda s, d: review.replay(_docs(s, d, "source"), "source", "doc_id"),
+    "bridge_candidates": lambda s, d: review.bridge(_docs(s, d, "source"), "source", "doc_id", "the |les |der "),
+    "dialogue_spacing": lambda s, d: review.spacing(_read(s, d, "conversations"), "conv_id", "turn", "role"),
+    "brick_lines": lambda s, d: metrics.brick_lines(_docs(s, d), "doc_id"),
+    "html_body_extract": lambda s, d: _read(s, d, "pages").select("page_id", html_body(F.col("html")).alias("body")),
     "works_catalog": _works,
     "missing_episodes": _missing,
     "duplicate_episodes": _duplicates,
@@ -145,7 +149,26 @@ c AS (SELECT source, doc_id, list_filter(list_transform(h, lambda x: left(trim(r
   list_filter(list_transform(t, lambda x: left(trim(regexp_replace(x, '\\s+', ' ', 'g')), 160)), lambda x: length(x) >= 12 AND x <> '***') AS t FROM e),
 p AS (SELECT source, lag(doc_id) OVER w AS previous, doc_id, list_sort(list_distinct(list_intersect(lag(t) OVER w, h))) AS same FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id))
 SELECT source, previous, doc_id, CAST(len(same) AS BIGINT) AS shared, array_to_string(same[1:5], chr(10)) AS samples FROM p WHERE len(same) > 0""",
-    "works_catalog": "SELECT source, count(*) AS runs, max(doc_id) AS latest_run, count(*) FILTER (quality = 0) AS pending, arg_max_null(quality, doc_id) AS latest_state FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source",
+    "bridge_candidates": f"""
+WITH c AS (SELECT source, doc_id, list_filter(list_transform(l, lambda x: left(trim(regexp_replace(x, '\\s+', ' ', 'g')), 160)), lambda x: length(x) >= 12 AND x <> '***') AS s FROM ({_L})),
+p AS (SELECT source, lag(doc_id) OVER w AS previous, doc_id, array_to_string(s[1:5], chr(10)) AS h, lag(s[greatest(len(s) - 4, 1):]) OVER w AS t FROM c WINDOW w AS (PARTITION BY source ORDER BY doc_id)),
+q AS (SELECT source, previous, doc_id, concat_ws(',', CASE WHEN length(h) < 80 THEN 'short_head' END, CASE WHEN NOT regexp_matches(h, 'the |les |der ') THEN 'no_time_anchor' END,
+  CASE WHEN regexp_matches(t[len(t)], '[?!…]$') AND len(list_filter(t, lambda x: contains(h, left(x, 20)))) = 0 THEN 'open_ending' END) AS signals FROM p WHERE previous IS NOT NULL)
+SELECT * FROM q WHERE signals <> ''""",
+    "dialogue_spacing": """
+SELECT conv_id, turn, CAST(turn - previous - 1 AS BIGINT) AS blanks, CAST(CASE WHEN was IS NOT DISTINCT FROM role THEN 0 ELSE 1 END AS BIGINT) AS wanted
+FROM (SELECT *, lag(turn) OVER w AS previous, lag(role) OVER w AS was FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE previous IS NOT NULL""",
+    "brick_lines": f"""
+SELECT doc_id, n AS bricks, round(n / greatest(length(text) / 10000.0::DOUBLE, 1), 3) AS density, round(least(n / greatest(length(text) / 10000.0::DOUBLE, 1) / 8 * 6, 6), 1) AS score
+FROM (SELECT doc_id, text, CAST(len(list_filter(l, lambda x: length(trim(x)) >= 160)) AS BIGINT) AS n FROM ({_L}))""",
+    "html_body_extract": r"""
+WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<head\b.*?</head\s*>', ' ', 'g'),
+  '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?is)<svg\b.*?</svg\s*>', ' ', 'g'), '(?is)<nav\b.*?</nav\s*>', ' ', 'g'), '(?is)<header\b.*?</header\s*>', ' ', 'g'),
+  '(?is)<footer\b.*?</footer\s*>', ' ', 'g'), '(?is)<aside\b.*?</aside\s*>', ' ', 'g') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(h, '(?s)<!--.*?-->', ' ', 'g'), '(?i)</?(?:p|div|h[1-6]|li|ul|ol|br|tr|table|blockquote|section|article|body)\b[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g') AS h FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(h, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS h FROM b)
+SELECT page_id, array_to_string(list_filter(list_transform(string_split(h, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS body FROM c""",
+    "works_catalog": "SELECT source, count(*) AS runs, max(doc_id) AS latest_run, count(*) FILTER (quality = 0) AS pending, coalesce(arg_max_null(quality, doc_id), -1) AS latest_state FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source",
     "missing_episodes": f"""
 WITH r AS (SELECT DISTINCT work, number FROM ({_ORDERS})), b AS (SELECT work, unnest(generate_series(min(number), max(number))) AS number FROM r GROUP BY work)
 SELECT * FROM b ANTI JOIN r USING (work, number)""",
