@@ -144,6 +144,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
     neighbours are linked with its smallest one) until nothing changes; logarithmic in the longest path; every step is staged."""
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
     before = None
+    if not edges.limit(1).count():
+        return edges.select(F.col("u").alias("v"), F.col("v").alias("c"))
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
