@@ -72,12 +72,14 @@ def hangul_ratio(text: Column) -> Column:
     return F.round(hangul / F.greatest(hangul + latin, F.lit(1)), 3)
 
 
-def occurrences(text: Column, needle: str) -> Column:
-    """0-based positions of all non-overlapping occurrences."""
+def occurrences(text: Column, needle: str | Column) -> Column:
+    """0-based positions of all non-overlapping occurrences; a null or empty needle has none."""
+    needle = F.lit(needle) if isinstance(needle, str) else needle
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
-    parts = F.split(text, r"\Q" + needle.replace(r"\E", r"\E\\E\Q") + r"\E", -1)
+    quoted = F.concat(F.lit(r"\Q"), F.replace(needle, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    parts = F.when(F.length(needle) > 0, F.split(text, quoted, F.lit(-1))).otherwise(F.array(text))
     heads = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))
-    n = len(needle)
+    n = F.length(needle)
     return F.aggregate(heads, start, lambda acc, p: F.struct((acc.at + F.length(p) + n).alias("at"), F.concat(acc.found, F.array(acc.at + F.length(p))).alias("found")), lambda acc: acc.found)
 
 
@@ -85,12 +87,16 @@ def count_of(text: Column, term: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(term), F.lit("")))) / F.lit(len(term))).cast("long")
 
 
+def unescape_common(text: Column) -> Column:
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return text
+
+
 def html_body(html: Column) -> Column:
     """Body text of possibly broken HTML by patterns alone: what is no text goes, block tags part lines, the common entities are decoded, blank lines go."""
     out = F.regexp_replace(html, r"(?is)<(head|script|style|svg|nav|header|footer|aside)\b.*?</\1\s*>", " ")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, r"(?i)</?(?:p|div|h[1-6]|li|ul|ol|br|tr|table|blockquote|section|article|body)\b[^>]*>", "\n")
     out = F.regexp_replace(out, "<[^>]+>", "")
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(sign))
-    return F.array_join(F.filter(F.transform(F.split(out, "\n"), clean_inline), lambda x: x != ""), "\n")
+    return F.array_join(F.filter(F.transform(F.split(unescape_common(out), "\n"), clean_inline), lambda x: x != ""), "\n")

@@ -19,10 +19,10 @@ def duplicate_episodes(rows: DataFrame, work: str, number: str) -> DataFrame:
     return rows.groupBy(work, number).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def apply_edits(docs: DataFrame, edits: str = "edits", text: str = "text") -> DataFrame:
-    """Replace spans (array of start, stop, replacement; 0-based positions in the given text, not overlapping); null or no edits leave the text."""
+def apply_edits(docs: DataFrame, edits: str = "edits", text: str = "text", in_order: bool = False) -> DataFrame:
+    """Replace spans (array of start, stop, replacement; 0-based positions in the given text, not overlapping); null or no edits leave the text. `in_order`: they are sorted already."""
     given = F.coalesce(F.col(edits), F.array().cast("array<struct<start:int,stop:int,replacement:string>>"))
-    ordered = F.sort_array(given)
+    ordered = given if in_order else F.sort_array(given)
     # each edit gives what stands between it and the one before, then its replacement: the text is cut once, not copied per edit
     before = F.concat(F.array(F.lit(0)), F.transform(ordered, lambda e: e.stop))
     pieces = F.zip_with(ordered, F.slice(before, 1, F.size(ordered)), lambda e, b: F.concat(F.substring(F.col(text), b + 1, e.start - b), e.replacement))

@@ -37,8 +37,51 @@ SURFACE = {
     "ai_tool_surface": r"ChatGPT|GPT-|AI-slop|ai-slop|인공지능이\s*작성",
 }
 MINIMUM_CHAPTER_CHARS = 4000
+NOTE_TERMS = ("TODO", "TBD", "FIXME", "작가", "편집", "교정", "검수", "수정", "삭제", "추가", "확인", "메모", "보강", "복선", "설정", "나중에", "여기", "장면", "대사", "묘사", "삽입", "정리")
+SCREEN_TERMS = (
+    "뉴스", "속보", "헤드라인", "로이터", "블룸버그", "외신", "통신사", "단말기", "터미널", "화면", "모니터", "자막", "텍스트", "알림", "전광판", "문자", "메시지",
+    "보고서", "브리핑", "기사", "신문", "방송", "앵커", "공시", "차트", "HTS", "호가창", "로그",
+)
+HEADLINE_TERMS = (
+    "미국", "중국", "일본", "한국", "유럽", "UN", "WTI", "원유", "유가", "금리", "환율", "달러", "주가", "지수", "시장", "모기지", "연체율", "가격", "하락세", "상승세",
+    "계약", "정부", "대통령", "발표", "선언", "공시", "긴급", "속보",
+)
+HEADLINE_SHAPE = r"[.。]|상승|하락|급등|급락|발표|선언"
+STATES = {
+    "anchor": r"(?:\d{4}년\s*)?\d{1,2}월\s*\d{1,2}일|\d{1,2}:\d{2}|오늘|금일|당일|어제|내일|다음 날|그날|같은 날|방금|조금 전|잠시 후|며칠 후|그날 밤|그날 오전|그날 오후|새벽|아침|정오|저녁|밤|하루 뒤|이튿날",
+    "negation": r"않|안\s|못|없(?:다|었다|었|고|는|어|음|을|다면|지만|지)|금지|거부|불가|중단|철회|취소|보류|미수행|미완|아직",
+    "affirmation": r"했|했다|마쳤|완료|끝냈|확인|승인|서명|시작|유지|넣|눌렀|받았|보냈|만났|나섰|들어갔",
+    "plan": r"해야\s*했|해야\s*한다|하려|할 생각|할 계획|예정|준비|기다리|필요",
+    "hard_affirmation": r"마쳤|완료|끝냈|확인했다|승인|서명|눌렀|넣었|받았|보냈|만났",
+    "trace": r"이미|아직|더 이상|처음|다시|결국|마침내|한 번도|단 한",
+}
+ACTIONS = {
+    "report": r"보고|연락|통화|전화|회선",
+    "trade_order": r"매수|매도|청산|주문|포지션|계약|호가|진입",
+    "approval": r"승인|결재|허가|가승인|본승인|한도",
+    "signing": r"서명|신청서|해지|서류|계약서",
+    "money_flow": r"이체|송금|입금|출금|현금화|분리|동결|자금",
+    "visit_movement": r"방문|외출|나섰|나갔|돌아|들어갔|빠져나왔",
+    "meeting": r"만났|상담|대화|대면|불렀|호출",
+    "knowledge": r"알았|몰랐|확인|기억|눈치|파악",
+}
+SUBTITLE_ENDING = r"(?:다|요|죠|했다|였다|한다|었다|았다)[.!?…]*$"
+MARKERS = ("ⓐ", "ⓐⓐ", "")
+OPERATIONS = ("replace", "delete", "insert_before", "insert_after")
+CONTEXTUAL_CLASSES = ("contextual_typo", "contextual_typo_fix", "contextual_word_error", "contextual_grammar")
+CONTEXTUAL_SIGNALS = ("11자", "11자의 틈새", "제품에", "피난 주", "숙식간", "정도록", "책임의무게", "말하지마요", "고았다", "튀어 나왔다")
+SLOP_CLASSES = ("ai_slop_cleanup", "repetition_cleanup", "rhythm_cleanup", "abstract_intensifier_cleanup")
+MEMO_PHRASES = ("판단 필요", "정본 확정 필요", "확정 전 보류", "여부 판단", "판단 여부", "backpatch", "역방향 보정 필요", "독자 반감 위험")
+REJECTED_STATUSES = ("rejected", "reject", "withdrawn", "철회", "반려")
+APPROVED_STATUSES = ("approved", "accepted", "done", "승인", "확정", "완료")
+LEDGER_STATUSES = (
+    "confirmed_error", "confirmed_internal_marker", "accepted_direct", "contextual_canon", "canon_hold", "blocking_hold", "policy_watchlist", "style_watchlist", "ledger_needed",
+    "policy_choice", "genre_allowed", "blocked", "needs_human", "style_only", "reseal_required", "sealed", "rejected",
+)
 # End of the fixed values.
 
 #: For text in Latin script.
 LATIN_FACTS = {"percent": r"\d+(?:\.\d+)?\s*%", "email": r"[a-z0-9._]+@[a-z0-9.]+\.[a-z]+", "number": r"\d+", "license": r"[Ll]icensed under|[Cc]opyright"}
 LATIN_TERMS = ("the ", "tion", " and ", "ing ")
+LATIN_STATES = {"anchor": r"[Tt]he [a-z]{2}|[Dd]ie [a-z]{2}", "negation": r" of | von ", "affirmation": r" and | und ", "plan": r"would|muss", "hard_affirmation": r"done", "trace": r"again|wieder"}
+LATIN_ACTIONS = {"tion": r"tion", "lich": r"lich", "ing": r"ing "}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import html_body, natural_key, occurrences, slug
-from ..operators import integrity, metrics, review, rules, segment
+from ..operators import changes, integrity, metrics, narrative, review, rules, segment
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,53 @@ def _edits(spark, d):
     return out.select("doc_id", F.size("edits").cast("long").alias("n"), F.sha2("text", 256).alias("sha256"))
 
 
+def _brackets(spark, d):
+    short = F.regexp_replace("text", r"(?m)^([^\[\]\n]{1,60})$", "[$1]")
+    return narrative.bracket_lines(_docs(spark, d).withColumn("text", short)).withColumn("terms", F.array_join("terms", ","))
+
+
+def _subtitles(spark, d):
+    return narrative.subtitles(_docs(spark, d, "source"), title=None)
+
+
+def _change_list(spark, d):
+    rows = [(0, "tion", "sion", "replace", 1), (1, "tion", "<", "insert_before", 1), (2, "tion", "", "delete", 1)]
+    items = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("index", "find", "replace", "operation", "occurrence"))]) for r in rows])
+    listed = _read(spark, d, "documents").select("doc_id", F.inline(items))
+    out = changes.apply_changes(_docs(spark, d), listed, "doc_id")
+    return out.select("doc_id", F.sha2("text", 256).alias("sha256"), F.array_join(F.col("applied").cast("array<string>"), ",").alias("applied"), F.array_join(F.col("blocked").cast("array<string>"), ",").alias("blocked"))
+
+
+def _markers(spark, d):
+    marked = F.replace(F.replace("text", F.lit("tion"), F.lit("ⓐ{tion|sion}")), F.lit(" und "), F.lit(" ⓐⓐ{und|oder}[수정 판단: x] "))
+    plain, judged = changes.marker_counts(F.col("m"))
+    return _docs(spark, d).select("doc_id", marked.alias("m")).select("doc_id", plain.cast("long").alias("plain"), judged.cast("long").alias("judged"), F.sha2(changes.finalize_markers(F.col("m"), False), 256).alias("restored"), F.sha2(changes.finalize_markers(F.col("m"), True), 256).alias("accepted"))
+
+
+_ORDER_CHANGES = """
+SELECT o_orderkey, o_orderpriority AS find, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN o_orderpriority ELSE 'x' END AS replace, CASE o_orderkey % 3 WHEN 0 THEN 'ⓐ' WHEN 1 THEN 'ⓐⓐ' ELSE '?' END AS marker,
+  CASE o_custkey % 5 WHEN 0 THEN 'delete' WHEN 1 THEN 'insert_before' WHEN 2 THEN 'move' ELSE 'replace' END AS operation, CAST(o_orderkey % 4 - 1 AS INT) AS occurrence, CAST(o_orderkey % 130 AS INT) AS confidence_percent,
+  o_custkey % 2 = 0 AS requires_context, CASE WHEN o_custkey % 3 = 0 THEN 'r' END AS reason, CASE WHEN o_orderkey % 7 = 0 THEN 'ai_slop_cleanup' END AS edit_class FROM orders"""
+_ORDER_LEDGER = """
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'issue' WHEN 1 THEN 'confirmed' WHEN 2 THEN 'hold' ELSE '' END AS record_type, CASE WHEN o_orderkey % 7 > 0 THEN 'x' END AS id,
+  CASE o_custkey % 4 WHEN 0 THEN 'confirmed_error' WHEN 1 THEN 'odd' WHEN 2 THEN 'sealed' END AS status, o_orderpriority AS source, CASE WHEN o_custkey % 3 > 0 THEN 'x' END AS target, 'x' AS reason, 'x' AS action, 'x' AS type, 'x' AS episode FROM orders"""
+
+
+def _orders_as(spark, d, sql: str):
+    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=_read(spark, d, "orders"))
+
+
 QUERIES = {
+    "bracket_lines": _brackets,
+    "chapter_subtitles": _subtitles,
+    "subtitle_flags": lambda s, d: narrative.subtitle_flags(_subtitles(s, d), "source", "doc_id"),
+    "action_conflicts": lambda s, d: narrative.action_conflicts(_docs(s, d), "doc_id", rules.LATIN_STATES, rules.LATIN_ACTIONS).drop("first_context", "second_context"),
+    "state_traces": lambda s, d: narrative.state_traces(_docs(s, d), "doc_id", rules.LATIN_STATES, rules.LATIN_ACTIONS).drop("context"),
+    "change_list_apply": _change_list,
+    "change_list_issues": lambda s, d: changes.change_issues(_orders_as(s, d, _ORDER_CHANGES), "o_orderkey"),
+    "ledger_issues": lambda s, d: changes.ledger_issues(_orders_as(s, d, _ORDER_LEDGER), "o_orderkey"),
+    "finalize_markers": _markers,
+    "change_contexts": lambda s, d: changes.change_contexts(_docs(s, d), "tion", most=1),
     "submission_gate": flagship,
     "chapter_metrics": lambda s, d: metrics.chapter_metrics(_docs(s, d)),
     "chapter_length_flags": lambda s, d: metrics.chapter_metrics(_docs(s, d)).where("below_minimum").select("doc_id", "chars", "deficit", F.lit("P1").alias("severity")),
@@ -120,7 +166,63 @@ _ORDERS = "SELECT o_custkey AS work, o_orderkey % 97 AS number FROM orders"
 _QUOTED = "length(line) - length(replace(line, '\"', ''))"
 _STYLE = "regexp_replace(regexp_replace(line, '([A-Za-z])''([A-Za-z])', '\\1\\2', 'g'), '([A-Za-z])''([A-Za-z])', '\\1\\2', 'g')"
 
+
+def _list(terms) -> str:
+    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+
+
+def _issue_sql(table: str, checks: list[tuple[str, str]]) -> str:
+    cases = ", ".join(f"CASE WHEN {c} THEN '{f}' END" for c, f in checks)
+    return f"SELECT o_orderkey, unnest(list_filter([{cases}], lambda x: x IS NOT NULL)) AS field FROM ({table})"
+
+
+_FIRST = f"SELECT doc_id, source, coalesce(trim(regexp_replace(list_filter(l, lambda x: trim(x) <> '')[1], '\\s+', ' ', 'g')), '') AS f FROM ({_L})"
+_SUBTITLES = f"""SELECT doc_id, source, has_subtitle, CASE WHEN has_subtitle THEN f ELSE '' END AS subtitle, CASE WHEN has_subtitle THEN 'body' ELSE 'none' END AS subtitle_source FROM (
+  SELECT *, length(f) BETWEEN 1 AND 36 AND f NOT IN ('***', '* * *', '---') AND NOT regexp_matches(f, '^["''“‘「『\\[(ⓐⓚ]') AND NOT regexp_matches(f, '[.?!]|…$|[:：]\\s*$')
+    AND NOT regexp_matches(f, '{rules.SUBTITLE_ENDING}') AND regexp_matches(f, '[가-힣A-Za-z0-9]') AS has_subtitle FROM ({_FIRST}))"""
+_S = {k: f"regexp_matches(line, '{p}')" for k, p in rules.LATIN_STATES.items()}
+_STATES = f"""
+SELECT *, coalesce(last_value(hit IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), 'episode_start') AS anchor FROM (
+  SELECT doc_id, line_no, nullif(regexp_extract(line, '{rules.LATIN_STATES["anchor"]}'), '') AS hit, list_filter([{", ".join(f"CASE WHEN regexp_matches(line, '{p}') THEN '{k}' END" for k, p in rules.LATIN_ACTIONS.items())}], lambda x: x IS NOT NULL) AS acts,
+    CASE WHEN {_S["plan"]} AND NOT {_S["hard_affirmation"]} THEN 'planned' WHEN {_S["negation"]} AND NOT {_S["affirmation"]} THEN 'negated' WHEN {_S["affirmation"]} AND NOT {_S["negation"]} THEN 'affirmed' ELSE 'other' END AS polarity,
+    {_S["trace"]} OR {_S["anchor"]} AS traced FROM (SELECT doc_id, line_no, trim(line) AS line FROM ({_LINE_ROWS})))"""
+_FIRST_TION = "strpos(text, 'tion')"
+
 ORACLES = {
+    "bracket_lines": rf"""
+WITH t AS (SELECT doc_id, string_split(regexp_replace(text, '(?m)^([^\[\]\n]{{1,60}})$', '[\1]', 'g'), chr(10)) AS l FROM documents),
+k AS (SELECT doc_id, line_no, trim(line) AS line FROM (SELECT doc_id, unnest(l) AS line, CAST(generate_subscripts(l, 1) AS INTEGER) AS line_no FROM t) WHERE trim(line) <> ''),
+w AS (SELECT *, upper(concat_ws(chr(10), array_to_string(list(line) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), chr(10)), array_to_string(list(line) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), chr(10)))) AS near FROM k),
+b AS (SELECT doc_id, line_no, near, trim(regexp_extract(line, '^\[(.*)\]$', 1)) AS body FROM w WHERE regexp_matches(line, '^\[[^\]\n]{{1,160}}\]$')),
+m AS (SELECT *, list_filter({_list(rules.NOTE_TERMS)}, lambda t: contains(upper(body), t) OR contains(near, t)) AS notes, list_filter({_list(rules.SCREEN_TERMS)}, lambda t: contains(near, t)) AS screen, list_filter({_list(rules.HEADLINE_TERMS)}, lambda t: contains(upper(body), t)) AS head FROM b),
+c AS (SELECT *, len(notes) > 0 AS note, len(screen) > 0 OR len(head) >= 2 OR (len(head) >= 1 AND regexp_matches(body, '{rules.HEADLINE_SHAPE}')) AS shown FROM m)
+SELECT doc_id, line_no, body, CASE WHEN note THEN 'authorial_or_editing_note' WHEN shown THEN 'storyworld_artifact' ELSE 'possible_stage_cue' END AS classification, note OR NOT shown AS blocks,
+  CASE WHEN note OR len(screen) > 0 THEN 'high' ELSE 'medium' END AS confidence, CASE WHEN note THEN array_to_string(notes[1:5], ',') WHEN shown THEN array_to_string(list_concat(screen[1:4], head[1:4]), ',') ELSE '' END AS terms FROM c""",
+    "chapter_subtitles": _SUBTITLES,
+    "subtitle_flags": f"""
+WITH s AS ({_SUBTITLES}), n AS (SELECT source, count(*) FILTER (has_subtitle) AS present, count(*) FILTER (NOT has_subtitle) AS missing, array_to_string((list(subtitle ORDER BY doc_id) FILTER (has_subtitle))[1:5], chr(10)) AS examples FROM s GROUP BY source)
+SELECT source, doc_id, CASE WHEN has_subtitle THEN 'consider_deleting_existing_subtitle' ELSE 'consider_adding_missing_subtitle' END AS action, present, missing, examples
+FROM s JOIN n USING (source) WHERE present > 0 AND missing > 0 AND present <> missing AND has_subtitle = (present < missing)""",
+    "action_conflicts": f"""
+WITH t AS (SELECT doc_id, line_no, anchor, polarity, unnest(acts) AS action FROM ({_STATES}) WHERE polarity IN ('affirmed', 'negated')),
+p AS (SELECT s.doc_id, s.anchor, s.action, f.line_no AS first_line, s.line_no AS second_line, f.polarity AS first_polarity, s.polarity AS second_polarity, row_number() OVER (PARTITION BY s.doc_id, s.anchor, s.action, s.line_no ORDER BY f.line_no DESC) AS r
+  FROM t s JOIN t f ON s.doc_id = f.doc_id AND s.anchor = f.anchor AND s.action = f.action AND f.line_no < s.line_no AND f.polarity <> s.polarity)
+SELECT doc_id, anchor, action, CAST(first_line AS INTEGER) AS first_line, CAST(second_line AS INTEGER) AS second_line, first_polarity, second_polarity FROM p WHERE r <= 3 AND second_line - first_line <= 160""",
+    "state_traces": f"SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, anchor, array_to_string(acts, ',') AS actions FROM ({_STATES}) WHERE traced AND len(acts) > 0",
+    "change_list_apply": f"""SELECT doc_id, sha256(CASE WHEN {_FIRST_TION} > 0 THEN left(text, {_FIRST_TION} - 1) || '<sion' || substr(text, {_FIRST_TION} + 4) ELSE text END) AS sha256,
+  CASE WHEN {_FIRST_TION} > 0 THEN '0,1' ELSE '' END AS applied, CASE WHEN {_FIRST_TION} > 0 THEN '2' ELSE '0,1,2' END AS blocked FROM documents""",
+    "change_list_issues": _issue_sql(_ORDER_CHANGES, [
+        ("replace IS NULL", "replace"), ("marker = '?'", "marker"), ("operation = 'move'", "operation"), ("operation = 'delete' AND replace <> ''", "replace"), ("operation = 'insert_before' AND replace = ''", "replace"),
+        ("operation = 'replace' AND find = replace", "replace"), ("occurrence < 1", "occurrence"), ("confidence_percent > 100", "confidence_percent"), ("requires_context AND marker = 'ⓐ' AND confidence_percent < 95", "confidence_percent"),
+        ("requires_context AND reason IS NULL", "reason"), ("requires_context", "reading_basis"), ("requires_context", "context"), ("requires_context AND marker = 'ⓐ'", "alternative_interpretation"), ("edit_class IS NOT NULL", "ai_slop_signal"),
+    ]),
+    "ledger_issues": _issue_sql(_ORDER_LEDGER, [
+        ("record_type = ''", "record_type"), ("id IS NULL", "id"), ("status = 'odd'", "status"), ("record_type IN ('confirmed', 'hold') AND status IS NULL", "status"), ("record_type = 'confirmed' AND target IS NULL", "target"),
+        ("record_type = 'issue' AND status IS NULL", "status"), ("record_type = 'issue' AND status = 'confirmed_error' AND target IS NULL", "target"),
+    ]),
+    "finalize_markers": """SELECT doc_id, CAST((length(text) - length(replace(text, 'tion', ''))) / 4 AS BIGINT) AS plain, CAST((length(text) - length(replace(text, ' und ', ''))) / 5 AS BIGINT) AS judged,
+  sha256(replace(text, 'tion', 'sion')) AS restored, sha256(replace(replace(text, 'tion', 'sion'), ' und ', ' oder ')) AS accepted FROM documents""",
+    "change_contexts": f"""SELECT doc_id, 1 AS nth, substr(text, greatest({_FIRST_TION} - 40, 1), least({_FIRST_TION} - 1, 40)) || '[[tion]]' || substr(text, {_FIRST_TION} + 4, 40) AS context FROM documents WHERE {_FIRST_TION} > 0""",
     "submission_gate": f"""
 WITH m AS (SELECT source, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["license"]}')) AS license_lines, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["email"]}')) AS email_lines FROM ({_LINE_ROWS}) GROUP BY source)
 SELECT i.source, chapters, chars, chapters_below_minimum, coalesce(license_lines, 0) AS license_lines, coalesce(email_lines, 0) AS email_lines,
