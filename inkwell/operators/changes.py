@@ -61,8 +61,18 @@ def apply_changes(docs: DataFrame, changes: DataFrame, key: str, text: str = "te
     Blocked: no such anchor or occurrence; several anchors and no occurrence; overlap with a span accepted before (by start, stop, index); an insertion strictly inside
     an accepted span. At one place, text inserted before comes first, then text inserted after, then a replacement that starts there. Changes are gathered by document
     first, so each text is joined once. Null texts block every change."""
+    per = changes.where(F.col(key).isNotNull()).groupBy(key).agg(gathered().alias("_changes"))
+    return apply_gathered(docs.join(per, key, "left"), "_changes", text)
+
+
+def gathered() -> Column:
+    """The aggregate that turns a change list into the array that apply_gathered takes."""
     fields = F.struct(F.col("index").cast("int").alias("index"), "find", F.coalesce("replace", F.lit("")).alias("replace"), F.coalesce("operation", F.lit("replace")).alias("operation"), F.col("occurrence").cast("int").alias("occurrence"))
-    per = changes.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(fields).alias("_changes"))
+    return F.collect_list(fields)
+
+
+def apply_gathered(docs: DataFrame, listed: str, text: str = "text") -> DataFrame:
+    """As apply_changes, where each row has its list in the column `listed`, which is dropped."""
 
     def span(c: Column) -> Column:
         found = occurrences(F.coalesce(F.col(text), F.lit("")), c.find)
@@ -73,7 +83,7 @@ def apply_changes(docs: DataFrame, changes: DataFrame, key: str, text: str = "te
         return F.struct(start.alias("start"), F.when(inserted, start).otherwise(end).cast("int").alias("stop"), rank.alias("rank"), c.index.alias("index"), F.when(c.operation == "delete", "").otherwise(c.replace).alias("replacement"))
 
     kind = "array<struct<start:int,stop:int,rank:int,index:int,replacement:string>>"
-    df = docs.join(per, key, "left").withColumn("_changes", F.coalesce("_changes", F.array().cast("array<struct<index:int,find:string,replace:string,operation:string,occurrence:int>>")))
+    df = docs.withColumn("_changes", F.coalesce(listed, F.array().cast("array<struct<index:int,find:string,replace:string,operation:string,occurrence:int>>")))
     df = df.withColumn("_spans", F.array_sort(F.filter(F.transform("_changes", span), lambda s: s.start.isNotNull())).cast(kind))
     taken = F.aggregate(F.filter("_spans", lambda s: s.rank == 2), F.array().cast(kind), lambda acc, s: F.when(F.coalesce(s.start >= F.get(acc, F.size(acc) - 1).stop, F.lit(True)), F.concat(acc, F.array(s))).otherwise(acc))
     df = df.withColumn("_taken", taken)
@@ -81,7 +91,7 @@ def apply_changes(docs: DataFrame, changes: DataFrame, key: str, text: str = "te
     done = F.array_sort(F.transform("_edits", lambda e: e.index))
     df = df.withColumn("applied", done).withColumn("blocked", F.array_sort(F.array_except(F.transform("_changes", lambda c: c.index), done)))
     df = df.withColumn("_edits", F.transform("_edits", lambda e: F.struct(e.start.alias("start"), e.stop.alias("stop"), e.replacement.alias("replacement"))))
-    return apply_edits(df, "_edits", text, in_order=True).drop("_changes", "_spans", "_taken", "_edits")
+    return apply_edits(df, "_edits", text, in_order=True).drop("_changes", listed, "_spans", "_taken", "_edits")
 
 
 def approved(changes: DataFrame, accept_judged: bool = False) -> DataFrame:
