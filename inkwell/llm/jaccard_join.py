@@ -4,7 +4,8 @@ Documents with equal sets form one class; only one set of each class goes on. Si
 ``threshold`` times each other. Classes are parted at a boundary size:
 
 * Light pairs (both sets at most the boundary): for sizes s <= t a link needs ``c(s, t)`` common shingles. Each set enumerates its subsets of exactly that
-  size; sharing one *is* the link, so nothing is verified.
+  size, named with both sizes; a set of size s and one of size t that share one *are* linked, so nothing is verified. Two sets of size t
+  that share a subset meant for a smaller s prove nothing and stay apart: each holder goes to the smallest holder of the other size.
 * Heavy pairs (the larger set is over the boundary): every set is listed under the first shingles of a fixed global order, as many as guarantee
   that two linked sets share one (prefix filter), and the lists are scanned.
 
@@ -194,7 +195,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int, flush: int = 6_000_000, l
 
 
 def _entries(batches: Iterator[pa.RecordBatch], k: int, boundary: int, frequent: np.ndarray, threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """(key, id, light): subset keys of small sets and prefix keys of those that may have a large partner."""
+    """(key, id, light): subset keys of small sets, light being the sum of both sizes, and prefix keys (light 0) of those that may have a large partner."""
     choose = {(s, c): np.array(list(combinations(range(s), c)), np.int64) for s in range(1, boundary + 1) for t in partners(s, threshold) if t <= boundary and (c := overlap_needed(s, t, threshold)) <= min(s, t)}
     num, den = threshold
     for part in chunks(batches, "text", 1 << 20):
@@ -209,7 +210,7 @@ def _entries(batches: Iterator[pa.RecordBatch], k: int, boundary: int, frequent:
         size = n[doc]
         rank = np.arange(len(sets)) - at[:-1][doc]
         listed = (rank < size - -(-num * size // den) + 1) & (den * size // num > boundary)
-        keys, docs, light = [_mix(sets[order][listed] + _U(1))], [doc[listed]], [np.zeros(int(listed.sum()), bool)]
+        keys, docs, light = [_mix(sets[order][listed] + _U(1))], [doc[listed]], [np.zeros(int(listed.sum()), np.int32)]
         for s in np.unique(n[(n > 0) & (n <= boundary)]):
             own = np.flatnonzero(n == s)
             values = _mix(sets[at[own][:, None] + np.arange(s)])
@@ -219,7 +220,7 @@ def _entries(batches: Iterator[pa.RecordBatch], k: int, boundary: int, frequent:
                     found = _mix(values[:, choose[int(s), c]].sum(axis=2, dtype=np.uint64) + _U(min(s, t) * 64 + max(s, t) + 5)).reshape(len(own), -1)
                     keys.append(found.ravel())
                     docs.append(np.repeat(own, found.shape[1]))
-                    light.append(np.ones(found.size, bool))
+                    light.append(np.full(found.size, s + t, np.int32))
         yield pa.RecordBatch.from_arrays([_signed(np.concatenate(keys)), part.column("id").take(pa.array(np.concatenate(docs))), pa.array(np.concatenate(light))], ["key", "id", "light"])
 
 
@@ -276,7 +277,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     member = staged(rows.join(equal, ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "member")
     unstaged(sketch)
 
-    listed = source.where("id is not null").mapInArrow(lambda it: _entries(it, shingle, boundary, shipped.value, threshold), f"key long, id {kind}, light boolean")
+    listed = source.where("id is not null").mapInArrow(lambda it: _entries(it, shingle, boundary, shipped.value, threshold), f"key long, id {kind}, light int")
     several = staged(listed.groupBy("key", "light").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "lists")
     free_shuffles(spark)
     reps = member.where("id is not null and n > 0").select("id", "rep", "n")
@@ -284,9 +285,10 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     unstaged(several)
     free_shuffles(spark)
 
-    first = entries.where("light").groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "a")
-    links = staged(entries.where("light").join(first, "key").where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "light-links")
-    heavy = staged(entries.where("not light").select("key", "rep", "n"), "heavy")
+    small_sets = entries.where("light > 0")
+    first = small_sets.groupBy("key", F.expr("light - n").alias("n")).agg(F.min("rep").alias("a"))  # n: the size that links with those holders
+    links = staged(small_sets.join(first, ["key", "n"]).where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "light-links")
+    heavy = staged(entries.where("light = 0").select("key", "rep", "n"), "heavy")
     keys = staged(heavy.groupBy("rep").agg(F.collect_list("key").alias("keys")), "keys")  # at most a prefix each
     vertices = reps.where("id = rep").select("rep", "n").distinct()
     unstaged(entries)

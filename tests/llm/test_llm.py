@@ -110,6 +110,19 @@ def test_join_equals_brute_force(spark, boundary):
     assert got == want
 
 
+@pytest.mark.parametrize(("boundary", "shingle", "threshold"), [(7, 4, (85, 100)), (16, 4, (85, 100)), (5, 5, (80, 100)), (16, 5, (80, 100))])
+def test_light_links_need_both_sizes(spark, boundary, shingle, threshold):
+    words, rows = "abcdefghij", []
+    for size in range(4, 9):  # texts that differ in the last word, without and with the shorter text that links them
+        for shorter in (False, True):
+            texts = [" ".join(f"{w}{len(rows)}" for w in words[: size + shingle - 1])]
+            texts.append(texts[0].rsplit(" ", 1)[0] + " other")
+            texts += [texts[0].rsplit(" ", 1)[0]] if shorter else []
+            rows += [(len(rows) + i, t) for i, t in enumerate(texts)]
+    got = {r[0]: tuple(r)[1:] for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, DOCS), shingle=shingle, threshold=threshold, boundary=boundary).collect()}
+    assert got == jaccard_join.brute_force(rows, shingle, threshold)
+
+
 # -- decontamination
 
 
