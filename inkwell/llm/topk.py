@@ -34,6 +34,7 @@ class SortedLists:
         order = np.argsort(ids, kind="stable")
         self.ids, self.values = ids[order], values[order].astype(np.float64 if values.size and int(np.abs(values).max()) ** 2 * values.shape[1] >= 1 << 24 else np.float32)
         by_value = np.argsort(-self.values, axis=0, kind="stable")
+        self.first = np.flatnonzero(np.concatenate(([True], self.ids[1:] != self.ids[:-1])))
         self.place = np.empty(by_value.shape, np.int32)
         np.put_along_axis(self.place, by_value, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
         self.sorted = np.take_along_axis(self.values, by_value, axis=0)
@@ -60,24 +61,36 @@ class SortedLists:
             mine = self.ids[:, None] == own[left]
             low[mine] = high[mine] = -np.inf
             bar = floor[left]
-            if n > k:
-                bar = np.maximum(bar, np.partition(low, n - k, axis=0)[n - k])
+            if len(self.first) > k:  # an id with several vectors holds one place, so that the k-th bound counts ids
+                each = low if len(self.first) == n else np.maximum.reduceat(low, self.first, axis=0)
+                bar = np.maximum(bar, np.partition(each, len(each) - k, axis=0)[len(each) - k])
             alive = high >= bar
             alive[mine] = False
             done = (alive.sum(axis=0) <= FEW) | (depth == n)
             for j in np.flatnonzero(done):
                 rest = np.flatnonzero(alive[:, j])
                 score = values[rest].astype(np.int64) @ queries[left[j]].astype(np.int64)
-                best = np.lexsort((self.ids[rest], -score))[:k]
+                best = np.lexsort((self.ids[rest], -score))
+                if len(self.first) < n:  # vectors of one id with equal scores count once
+                    of, to = self.ids[rest][best], score[best]
+                    best = best[np.concatenate(([True], (of[1:] != of[:-1]) | (to[1:] != to[:-1])))[: len(best)]]
+                best = best[:k]
                 yield int(left[j]), self.ids[rest][best], score[best]
             left, depth = left[~done], depth * 3
 
 
 def _packed(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-    """(block, ids, values): vectors of one length in blocks of about `per_block`; values are 16-bit integers, dimension after dimension per vector."""
+    """(block, ids, values): distinct rows, with vectors of one length, in blocks of about `per_block` (rows of an id share one); values are 16-bit integers, dimension after dimension per vector."""
     total = rows.count()
     n = max(1, -(-total // per_block))
 
+    def distinct(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without repeated (id, vector) rows."""
+        if len(np.unique(ids)) < len(ids):
+            kept = np.unique(np.column_stack((ids, values.astype(np.int64))), axis=0)
+            ids, values = kept[:, 0], kept[:, 1:].astype("<i4")
+        return ids, values
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], tuple[list, list]] = {}
         for b in batches:
@@ -91,7 +104,10 @@ def _packed(rows: DataFrame, per_block: int, name: str) -> DataFrame:
                     own = held.setdefault((int(x), int(d)), ([], []))
                     own[0].append(ids[pick])
                     own[1].append(flat[(at[pick] - at[0])[:, None] + np.arange(d)].astype("<i4"))
-        for (x, d), (ids, values) in sorted(held.items()):
+                    if sum(map(len, own[0])) > 2 * max(len(own[0][0]), per_block):
+                        own[0][:], own[1][:] = ([a] for a in distinct(*map(np.concatenate, own)))
+        for (x, d), own in sorted(held.items()):
+            ids, values = ([a] for a in distinct(*map(np.concatenate, own)))
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()), pa.array([d], pa.int32()), pa.array([np.concatenate(ids).astype("<i8").tobytes()], pa.binary()), pa.array([np.concatenate(values).tobytes()], pa.binary())], ["block", "d", "ids", "values"])
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(min(n, 20_000), "block")

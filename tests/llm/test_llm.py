@@ -156,6 +156,17 @@ def test_top_k_edge_cases(spark):
     assert got == [(0, 1, 3, 131072), (0, 2, 50, 131072), (0, 3, 7, 0), (50, 1, 0, 131072), (50, 2, 3, 131072), (50, 3, 7, 0)]
 
 
+def test_top_k_counts_repeated_rows_once(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-9, 9) / 4 for _ in range(6)]) for i in range(60)]
+    rows += [(i, [-x for x in v]) for i, v in rows if i % 7 == 0] + [(60 + i % 3, [2.0] * i + [2.5] + [2.0] * (5 - i)) for i in range(6)]  # ids with several vectors, some of equal scores
+    scores = {(q, c, int(sum(256 * x * 256 * y for x, y in zip(a, b)))) for q, a in rows if q % 10 == 0 for c, b in rows if q != c}
+    want = [(q, n + 1, c, -s) for q in range(0, 61, 10) for n, (s, c) in enumerate(sorted((-s, c) for p, c, s in scores if p == q)[:5])]
+    for times, block in ((1, 4096), (2, 4096), (9, 4096), (2, 16), (300, 64)):
+        df = spark.createDataFrame(rows * times, "vec_id long, embedding array<float>")
+        assert [tuple(r) for r in topk.top_k(df, query="vec_id % 10 = 0", block=block).orderBy("query_id", "rank").collect()] == want
+
+
 # -- token counts
 
 
