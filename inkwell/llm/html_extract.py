@@ -2,9 +2,11 @@
 
 1. Each page is parsed once into blocks (text between block tags) with the tag-class path of the container that holds them; digits in
    classes are generalised, so templates match over pages. Menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are marked by tag and by words in class or id.
-2. A page's containers are scored: a block's characters outside links count for its container, half for the next one up. The page votes for the
-   best one; votes are added by host and path (partial aggregates, so a large host costs no more) and the host's winner is the path with most votes.
-3. Pages are extracted again along their host's winning path. A page without it uses its own best path.
+2. A page's containers are scored: a block's characters outside links count for its container, half for the next one up; an article (else main)
+   counts as one container with all below it. From the best one the page climbs to the outermost container around it that has a heading or a good part of such text of its own, and
+   votes for it; votes are added by host and path (partial aggregates, so a large host costs no more) and the host's winner is the path with most votes.
+3. Pages are extracted again along their host's winning path. A page uses its own best path where the host's is absent, or holds under a third of what the own one holds
+   and the own one is not a container that most pages of the host have beside their article.
 
 Blocks keep page order; in a block, character references are decoded and white space is one space; blocks are joined by an empty line.
 
@@ -29,6 +31,7 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|textarea|no
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _CONTAINERS = frozenset("article main section div td body html center".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr th caption figure figcaption address hr details summary nav header footer aside form fieldset menu dialog head".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
 _AWAY = frozenset("nav header footer aside form menu dialog head button label figcaption".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
@@ -43,11 +46,14 @@ _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt",
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def parse(source: str) -> list[tuple[str, str, str, int]]:
-    """(container's path, path of the next container up, text, characters in links) of the blocks that are not marked away."""
-    out: list[tuple[str, str, str, int]] = []
-    # (tag, path, away, container's path, next container's path)
-    stack: list[tuple[str, str, bool, str, str]] = [("", "", False, "", "")]
+Block = tuple[tuple[str, ...], str, int, bool]
+
+
+def parse(source: str) -> list[Block]:
+    """(paths of the containers around it, the outermost first; text; characters in links; whether it is a heading) of the blocks that are not marked away."""
+    out: list[Block] = []
+    # (tag, path, away, paths of the containers)
+    stack: list[tuple[str, str, bool, tuple[str, ...]]] = [("", "", False, ())]
     text: list[str] = []
     links, in_link = 0, 0
 
@@ -57,7 +63,7 @@ def parse(source: str) -> list[tuple[str, str, str, int]]:
             if not stack[-1][2]:
                 whole = " ".join(html.unescape("".join(text)).split())
                 if whole:
-                    out.append((stack[-1][3], stack[-1][4], whole, links))
+                    out.append((stack[-1][3], whole, links, stack[-1][0] in _HEADINGS))
             text.clear()
         links = 0
 
@@ -85,7 +91,7 @@ def parse(source: str) -> list[tuple[str, str, str, int]]:
                             break
                 else:
                     top = stack[-1]
-                    stack.append((tag, top[1], True, top[3], top[4]))
+                    stack.append((tag, top[1], True, top[3]))
             continue
         flush()
         if closing:
@@ -112,28 +118,63 @@ def parse(source: str) -> list[tuple[str, str, str, int]]:
                 found = _WORDS.findall(_CAMEL.sub(" ", value).lower())
                 away = away or (name.lower() == "role" and value.lower() in _ROLES) or (tag != "body" and not _AWAY_WORDS.isdisjoint(found))
         path = f"{top[1]}>{tag}{'.' if classes else ''}{classes}"
-        stack.append((tag, path, away, path, top[3]) if tag in _CONTAINERS else (tag, path, away, top[3], top[4]))
+        stack.append((tag, path, away, (*top[3], path) if tag in _CONTAINERS else top[3]))
     flush()
     return out
 
 
-def best_path(blocks: list[tuple[str, str, str, int]]) -> tuple[str, float]:
-    """The container with the highest score; of equal ones the first in the page."""
-    score: dict[str, float] = defaultdict(float)
-    for path, up, text, links in blocks:
-        weight = max(0, len(text) - links)
-        score[path] += weight
-        score[up] += weight / 2
-    return max(score.items(), key=lambda x: x[1], default=("", 0.0))
+def _tag(path: str) -> str:
+    return path.rpartition(">")[2].partition(".")[0]
+
+
+def _unit(chain: tuple[str, ...]) -> tuple[str, ...]:
+    """The containers down to the outermost article, else to the outermost main, else all."""
+    tags = [_tag(p) for p in chain]
+    return next((chain[: tags.index(t) + 1] for t in ("article", "main") if t in tags), chain)
 
 
-def along(blocks: list[tuple[str, str, str, int]], path: str | None) -> str:
-    """The blocks in and below the path's containers; the page's own best path where there are none."""
-    pick = [b for b in blocks if path and (b[0] == path or b[0].startswith(path + ">"))]
-    if not pick and blocks:
-        own = best_path(blocks)[0]
-        pick = [b for b in blocks if b[0] == own or b[0].startswith(own + ">")]
-    return "\n\n".join(b[2] for b in pick)
+def _weights(blocks: list[Block]) -> dict[str, int]:
+    """Characters outside links in and below each container."""
+    out: dict[str, int] = defaultdict(int)
+    for chain, text, links, _ in blocks:
+        for p in {"", *chain}:
+            out[p] += max(0, len(text) - links)
+    return out
+
+
+def best_path(blocks: list[Block]) -> tuple[str, float]:
+    """The container with the highest score, of equal ones the first in the page, or the outermost one around it with text of its own."""
+    score: dict[str, float] = defaultdict(float)
+    own: dict[str, int] = defaultdict(int)
+    chains: dict[str, tuple[str, ...]] = {}
+    headed: set[str] = set()
+    for chain, text, links, heading in blocks:
+        unit, weight = _unit(chain), max(0, len(text) - links)
+        for part, share in ((unit, 1.0), (unit[:-1], 0.5)):
+            path = part[-1] if part else ""
+            chains.setdefault(path, part)
+            score[path] += weight * share
+        if chain:
+            own[chain[-1]] += weight
+            if heading and weight:
+                headed.add(chain[-1])
+    path, best = max(score.items(), key=lambda x: x[1], default=("", 0.0))
+    whole = _weights(blocks)[path]
+    for p in chains.get(path, ())[:-1]:
+        page = _tag(p) in ("html", "body")
+        if (p in headed and not page) or own[p] >= whole * (0.3 if page else 0.1) > 0:
+            return p, best
+    return path, best
+
+
+def along(blocks: list[Block], path: str | None, beside: frozenset[str] = frozenset()) -> str:
+    """The blocks in and below the path's containers; those of the page's own best path where there are none, or few and the own path is not one of `beside`."""
+    pick = [b for b in blocks if path and path in b[0]]
+    own = best_path(blocks)[0] if blocks else ""
+    weights = _weights(blocks)
+    if not pick or (own != path and own not in beside and 3 * weights[path] < weights[own]):
+        pick = [b for b in blocks if not own or own in b[0]]
+    return "\n\n".join(b[1] for b in pick)
 
 
 def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", broadcast_hosts: int = 200_000) -> DataFrame:
@@ -143,20 +184,31 @@ def extract(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", b
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html", 4 << 20):
-            best = [best_path(parse(h or "")) for h in part.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("host"), pa.array([b[0] for b in best]), pa.array([b[1] for b in best], pa.float64())], ["host", "path", "score"])
-
-    votes = source.mapInArrow(vote, "host string, path string, score double").where("score > 0").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.round(F.sum("score")).alias("score"))
-    winners = staged(votes.groupBy("host").agg(F.max(F.struct("votes", "score", "path")).alias("w")).select(F.col("host").alias("host_"), F.col("w.path").alias("path_")), "host-paths")
-    few = winners.count() <= broadcast_hosts  # a path is some tens of bytes; else both sides are dealt by host, and large hosts split
+            counts: dict[tuple[str, str], list] = defaultdict(lambda: [0, 0, 0.0])
+            for at, h in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+                blocks = parse(h or "")
+                path, score = best_path(blocks)
+                if score > 0:
+                    for p, weight in _weights(blocks).items():
+                        counts[at, p][1] += weight > 0
+                    counts[at, path][0] += 1
+                    counts[at, path][2] += score
+            columns = [[k[0] for k in counts], [k[1] for k in counts], *([c[i] for c in counts.values()] for i in range(3))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["host", "path", "votes", "seen", "score"])
+
+    votes = source.mapInArrow(vote, "host string, path string, votes long, seen long, score double").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("seen").alias("seen"), F.round(F.sum("score")).alias("score")).where("votes > 0")
+    beside = F.collect_list(F.when(F.col("seen") > 2 * F.col("votes"), F.col("path"))).alias("beside")  # only paths that are some page's best
+    winners = votes.groupBy("host").agg(F.max(F.struct("votes", "score", "path")).alias("w"), beside)
+    winners = staged(winners.select(F.col("host").alias("host_"), F.col("w.path").alias("path_"), F.expr("filter(beside, p -> p != w.path and not startswith(w.path, p || '>'))").alias("beside_")), "host-paths")
+    few = (winners.agg(F.sum(F.size("beside_") + 1)).first()[0] or 0) <= broadcast_hosts  # a path is some tens of bytes; else both sides are dealt by host, and large hosts split
     rest = [c for c in pages.columns if c not in (html_col, "text")]
     keep = pages.select(F.struct(*rest).alias("row"), F.col(html_col).cast("string").alias("html"), host.alias("host_"))
-    both = keep.join(F.broadcast(winners) if few else winners, "host_", "left").select("row", "html", "path_")
+    both = keep.join(F.broadcast(winners) if few else winners, "host_", "left").select("row", "html", "path_", "beside_")
     row_type = both.schema["row"].dataType.simpleString()
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "html", 4 << 20):
-            texts = [along(parse(h or ""), p) for h, p in zip(part.column("html").to_pylist(), part.column("path_").to_pylist(), strict=True)]
+            texts = [along(parse(h or ""), p, frozenset(x or ())) for h, p, x in zip(*(part.column(c).to_pylist() for c in ("html", "path_", "beside_")), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
     return both.mapInArrow(again, f"row {row_type}, text string").select("row.*", "text")

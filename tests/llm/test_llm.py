@@ -2,6 +2,7 @@
 
 import array
 import random
+import re
 import zlib
 
 import duckdb
@@ -194,6 +195,23 @@ def test_extraction(spark):
     assert got[9] == "short"
 
 
+def test_extraction_keeps_whole_articles(spark):
+    short, long = "intro " * 50, "body text " * 100
+    cell = f"<tr><td>{long}</td></tr>"
+    whole = [
+        f"<article><h1>T</h1><p>{short}</p><section><p>{long}</p></section></article>", f"<article><h1>T</h1><div class=body><p>{long}</p></div></article>", f"<article><section class=a><p>{long}</p></section><section class=b><p>{short}</p></section></article>",
+        f"<article><p>{short}</p><table>{cell}{cell}</table></article>", f"<div class=post><h1>T</h1><div class=body><p>{long}</p></div></div>", f"<div class=post><p>{short}</p><div><div><p>{long}</p></div></div></div>",
+    ]
+    page = "<html><body><div class=junk><p>unmarked</p></div>{}</body></html>".format
+    rows = [(i, f"http://h{i}.x/", page(x)) for i, x in enumerate(whole)]
+    want = {i: " ".join(re.sub("<[^>]*>", " ", x).split()) for i, x in enumerate(whole)}
+    # a page whose article is elsewhere than on its host's other pages
+    rows += [(100 + i, "http://h.x/", page(f"<div class=post><p>{long}</p></div>")) for i in range(5)] + [(200, "http://h.x/", page(f"<div class=post><p>teaser</p></div><div class=story><p>{long}</p></div>"))]
+    want |= dict.fromkeys([*range(100, 105), 200], long.strip())
+    got = {r.page_id: " ".join(r.text.split()) for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 # -- classifiers
 
 
