@@ -106,6 +106,7 @@ QUERIES = {
     "ledger_issues": lambda s, d: changes.ledger_issues(_orders_as(s, d, _ORDER_LEDGER), "o_orderkey"),
     "finalize_markers": _markers,
     "change_contexts": lambda s, d: changes.change_contexts(_docs(s, d), "tion", most=1),
+    "change_contexts_report": lambda s, d: changes.change_contexts(_docs(s, d), "tion", window=360, most=3),
     "submission_gate": flagship,
     "chapter_metrics": lambda s, d: metrics.chapter_metrics(_docs(s, d)),
     "chapter_length_flags": lambda s, d: metrics.chapter_metrics(_docs(s, d)).where("below_minimum").select("doc_id", "chars", "deficit", F.lit("P1").alias("severity")),
@@ -223,6 +224,10 @@ SELECT doc_id, anchor, action, CAST(first_line AS INTEGER) AS first_line, CAST(s
     "finalize_markers": """SELECT doc_id, CAST((length(text) - length(replace(text, 'tion', ''))) / 4 AS BIGINT) AS plain, CAST((length(text) - length(replace(text, ' und ', ''))) / 5 AS BIGINT) AS judged,
   sha256(replace(text, 'tion', 'sion')) AS restored, sha256(replace(replace(text, 'tion', 'sion'), ' und ', ' oder ')) AS accepted FROM documents""",
     "change_contexts": f"""SELECT doc_id, 1 AS nth, substr(text, greatest({_FIRST_TION} - 40, 1), least({_FIRST_TION} - 1, 40)) || '[[tion]]' || substr(text, {_FIRST_TION} + 4, 40) AS context FROM documents WHERE {_FIRST_TION} > 0""",
+    "change_contexts_report": """
+SELECT doc_id, CAST(nth AS INTEGER) AS nth, substr(text, greatest(p - 360, 1), least(p - 1, 360)) || '[[tion]]' || substr(text, p + 4, 360) AS context FROM (
+  SELECT doc_id, text, nth, CAST(list_sum(list_transform(parts[1:nth], lambda x: length(x))) AS BIGINT) + 4 * (nth - 1) + 1 AS p FROM (
+    SELECT doc_id, text, parts, unnest(generate_series(1, least(len(parts) - 1, 3))) AS nth FROM (SELECT doc_id, text, string_split(text, 'tion') AS parts FROM documents) WHERE len(parts) > 1))""",
     "submission_gate": f"""
 WITH m AS (SELECT source, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["license"]}')) AS license_lines, count(*) FILTER (regexp_matches(line, '{rules.LATIN_FACTS["email"]}')) AS email_lines FROM ({_LINE_ROWS}) GROUP BY source)
 SELECT i.source, chapters, chars, chapters_below_minimum, coalesce(license_lines, 0) AS license_lines, coalesce(email_lines, 0) AS email_lines,

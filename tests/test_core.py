@@ -1,5 +1,7 @@
 """Operators on fixtures, and the named queries against their SQL at the smallest scale."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +91,12 @@ def test_edits_and_gaps(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, text string")
     assert metrics.chapter_metrics(empty).count() == 0 and review.replay(empty, "source", "doc_id").count() == 0 and segment.sentences(empty).count() == 0
+
+
+def test_change_contexts_report_gives_three_matches(spark):
+    want = set()
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect():
+        at = [m.start() for m in re.finditer("tion", r.text or "")]
+        want |= {(r.doc_id, n, r.text[max(0, p - 360) : p] + "[[tion]]" + r.text[p + 4 : p + 364]) for n, p in enumerate(at[:3], 1)}
+    got = catalogue.QUERIES["change_contexts_report"](spark, DATA).select("doc_id", "nth", "context").collect()
+    assert {n for _, n, _ in want} == {1, 2, 3} and len(got) == len(want) and {tuple(r) for r in got} == want
