@@ -45,7 +45,9 @@ class SortedLists:
         All queries read the lists together, to growing depths; lists are read from the front for positive weights and from the back for negative ones.
         """
         n, d = self.values.shape
-        values, kind = self.values, self.values.dtype
+        largest = int(np.abs(self.values).max(initial=0)) * int(np.abs(queries.astype(np.int64)).max(initial=0))
+        kind = np.dtype(np.float64 if largest * d >= 1 << 24 else self.values.dtype)  # sums up to there are exact in 32 bits
+        values, lists = self.values.astype(kind, copy=False), self.sorted.astype(kind, copy=False)
         left, depth = np.arange(len(queries)), n // 8
         while len(left):
             depth = min(n, max(depth, 64))
@@ -54,8 +56,8 @@ class SortedLists:
             front, back = self.place < depth, self.place >= n - depth
             seen = np.hstack((front, back)).astype(kind)
             known = np.hstack((values * front, values * back)) @ np.vstack((plus, minus))
-            worst = np.vstack((plus * self.sorted[-1][:, None], minus * self.sorted[0][:, None]))
-            last = np.vstack((plus * self.sorted[depth - 1][:, None], minus * self.sorted[n - depth][:, None]))
+            worst = np.vstack((plus * lists[-1][:, None], minus * lists[0][:, None]))
+            last = np.vstack((plus * lists[depth - 1][:, None], minus * lists[n - depth][:, None]))
             low = known + (worst.sum(axis=0) - seen @ worst)
             high = known + (last.sum(axis=0) - seen @ last)
             mine = self.ids[:, None] == own[left]

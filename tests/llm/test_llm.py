@@ -168,6 +168,21 @@ def test_top_k_counts_repeated_rows_once(spark):
         assert [tuple(r) for r in topk.top_k(df, query="vec_id % 10 = 0", block=block).orderBy("query_id", "rank").collect()] == want
 
 
+def test_search_is_exact_for_queries_of_large_norm():
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        values = np.full((3000, 64), 133, np.int32)
+        for row in values:  # scores differ by less than 32 bits can tell
+            row[rng.choice(64, 2, replace=False)] += [1, -1]
+        queries = (40_000 + rng.integers(0, 9, (4, 64))).astype(np.int32)
+        lists, ids = topk.SortedLists(np.arange(3000), values), np.arange(3000)
+        assert lists.values.dtype == np.float32
+        for j, found, scores in lists.search(queries, np.full(4, -1), 5, np.full(4, -np.inf)):
+            want = values.astype(np.int64) @ queries[j].astype(np.int64)
+            best = np.lexsort((ids, -want))[:5]
+            assert found.tolist() == best.tolist() and scores.tolist() == want[best].tolist()
+
+
 # -- token counts
 
 
