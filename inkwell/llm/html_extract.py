@@ -41,6 +41,9 @@ _AWAY_WORDS = frozenset(
     "comment comments reply replies respond disqus discussion pagination pager toolbar skip hidden disclaimer copyright".split()
 )
 _WORDS = re.compile(r"[a-z]+")
+#: Elements that hold the article are not marked by words, and classes that tell of a state name no part of the page.
+_KEPT = frozenset("html body main article".split())
+_STATE = re.compile(r"(?<!\S)(?:(?:has|no|not|with|without|is)[-_]\S+|\S+[-_](?:enabled|disabled))(?!\S)", re.I)
 _DIGITS = re.compile(r"\d+")
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -50,6 +53,11 @@ Block = tuple[tuple[str, ...], str, int, bool]
 
 
 def parse(source: str) -> list[Block]:
+    """The blocks that are not marked away; where words in class or id would leave none, only tags and roles mark."""
+    return _parse(source, True) or _parse(source, False)
+
+
+def _parse(source: str, by_words: bool) -> list[Block]:
     """(paths of the containers around it, the outermost first; text; characters in links; whether it is a heading) of the blocks that are not marked away."""
     out: list[Block] = []
     # (tag, path, away, paths of the containers)
@@ -115,8 +123,8 @@ def parse(source: str) -> list[Block]:
                 value = next((v for v in values if v), "")
                 if name.lower() == "class":
                     classes = ".".join(sorted(_DIGITS.sub("#", value).split()))
-                found = _WORDS.findall(_CAMEL.sub(" ", value).lower())
-                away = away or (name.lower() == "role" and value.lower() in _ROLES) or (tag != "body" and not _AWAY_WORDS.isdisjoint(found))
+                found = _WORDS.findall(_CAMEL.sub(" ", _STATE.sub(" ", value)).lower())
+                away = away or (name.lower() == "role" and value.lower() in _ROLES) or (by_words and tag not in _KEPT and not _AWAY_WORDS.isdisjoint(found))
         path = f"{top[1]}>{tag}{'.' if classes else ''}{classes}"
         stack.append((tag, path, away, (*top[3], path) if tag in _CONTAINERS else top[3]))
     flush()

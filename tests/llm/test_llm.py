@@ -227,6 +227,14 @@ def test_extraction_keeps_whole_articles(spark):
     assert got == want
 
 
+def test_extraction_of_containers_with_marked_words():
+    inner, away = "<p>The text</p><div class=site-header>Top</div>", "<div class=sidebar>side</div>"
+    for open_, close in (("<main class='has-sidebar'>", "</main>"), ("<article class='post share-enabled'>", "</article>"), ("<div id='content' class='with-header'>", "</div>"), ("<article class='post search'>", "</article>")):
+        blocks = html_extract.parse(f"<html class='no-sidebar'><body>{open_}{inner}{close}{away}</body></html>")
+        assert [b[1] for b in blocks] == ["The text"]
+    assert [b[1] for b in html_extract.parse("<body><div class='comments'><p>All there is</p></div><nav>n</nav></body>")] == ["All there is"]
+
+
 # -- classifiers
 
 
