@@ -9,7 +9,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir, which all executors share. Where that is unset, a temporary one if driver and executors are one
+    process (local master); on a cluster it must be set, as each executor would write to its own disk."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='inkwell-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -35,6 +39,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def counted(df: DataFrame, name: str, *more: Column) -> tuple[DataFrame, dict]:
+    """staged(df), and its row count "n" with other aggregates, taken while it is written."""
+    seen = Observation()
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("n"), *more), name)
+    return out, dict(seen.get)
+
+
 def unstaged(df: DataFrame) -> None:
     """Delete a table of staged() that no later plan reads."""
     path = getattr(df, "_staged_path", None)
@@ -44,15 +55,15 @@ def unstaged(df: DataFrame) -> None:
         where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about `most` bytes of text each; one longer text makes a slice of its own."""
+def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about `most` bytes of text and `rows` rows at most; one longer text makes a slice of its own."""
     for batch in batches:
         n = batch.num_rows
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         ends, at = np.cumsum(sizes), 0
         while at < n:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
+            to = max(at + 1, min(at + rows, int(np.searchsorted(ends, base + most, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 
