@@ -2,6 +2,7 @@
 
 1. Each page is parsed once into blocks (text between block tags) with the tag-class path of the container that holds them; digits in
    classes are generalised, so templates match over pages. Menus, headers, footers, sidebars, notices, adverts, forms, comments and the like are marked by tag and by words in class or id.
+   A part marked by words that holds most of the page's text (a quarter, where only a part of a class name is such a word) is not left out, unless it is made of comments or the page has an article (or main) with text that is not marked.
 2. A page's containers are scored: a block's characters outside links count for its container, half for the next one up; an article (else main)
    counts as one container with all below it. From the best one the page climbs to the outermost container around it that has a heading or a good part of such text of its own, and
    votes for it; votes are added by host and path (partial aggregates, so a large host costs no more) and the host's winner is the path with most votes.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,13 +28,19 @@ from pyspark.sql import functions as F
 
 from .common import chunks, staged, table
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|textarea|noscript|template|iframe|svg|title|select|object|canvas)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|([^<]+|<)""", re.S | re.I)
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*')*+"""
+#: Comments; declarations; elements whose content is no text; tags; tags with a quote that does not close (to the next angle bracket); text. No part is read again at each tag.
+_TOKEN = re.compile(
+    rf"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>?|<(script|style|textarea|noscript|template|iframe|svg|title|select|object|canvas)\b{_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"""
+    rf"""|<(/?)([a-zA-Z][\w:-]*)(?:({_ATTRIBUTES})>|[^<>]*(?:>|(?=<)))|([^<]+|<)""",
+    re.S | re.I,
+)
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _CONTAINERS = frozenset("article main section div td body html center".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr th caption figure figcaption address hr details summary nav header footer aside form fieldset menu dialog head".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("br hr img input meta link area base col embed source track wbr param".split())
-_AWAY = frozenset("nav header footer aside form menu dialog head button label figcaption".split())
+_AWAY = frozenset("nav header footer aside form menu dialog head button label".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
 _AWAY_WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -41,6 +48,13 @@ _AWAY_WORDS = frozenset(
     "comment comments reply replies respond disqus discussion pagination pager toolbar skip hidden disclaimer copyright".split()
 )
 _WORDS = re.compile(r"[a-z]+")
+#: Elements nested deeper belong to the container at this depth.
+DEEPEST = 256
+#: Besides marking words, a class name of these only tells of a part's place or form.
+_PLAIN = frozenset("list area section box bar wrap wrapper container block form links link item items posts articles top bottom left right main site page global primary secondary inner outer content group panel".split())
+_COMMENTS = frozenset("comment comments reply replies respond disqus discussion".split())
+#: A part that is marked by words holds the article after all if it holds so much of the page's text outside links: where a whole class name marks it, and where one word of a longer name does.
+_SHARE, _WEAK_SHARE = 0.6, 0.25
 #: Elements that hold the article are not marked by words, and classes that tell of a state name no part of the page.
 _KEPT = frozenset("html body main article".split())
 _STATE = re.compile(r"(?<!\S)(?:(?:has|no|not|with|without|is)[-_]\S+|\S+[-_](?:enabled|disabled))(?!\S)", re.I)
@@ -52,19 +66,57 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 Block = tuple[tuple[str, ...], str, int, bool]
 
 
-def parse(source: str) -> list[Block]:
-    """The blocks that are not marked away; where words in class or id would leave none, only tags and roles mark."""
-    return _parse(source, True) or _parse(source, False)
+def _strength(names: str) -> int:
+    """How words in a class or id mark a part: 0 not, 1 as one word of a longer name, 2 as a whole name, 3 as comments."""
+    out = 0
+    for name in _STATE.sub(" ", names).split():
+        found = _WORDS.findall(_CAMEL.sub(" ", name).lower())
+        if not _AWAY_WORDS.isdisjoint(found):
+            whole = all(w in _AWAY_WORDS or w in _PLAIN for w in found)
+            out = max(out, (3 if not _COMMENTS.isdisjoint(found) else 2) if whole else 1)
+    return out
 
 
-def _parse(source: str, by_words: bool) -> list[Block]:
-    """(paths of the containers around it, the outermost first; text; characters in links; whether it is a heading) of the blocks that are not marked away."""
+def parse(source: str) -> list[Block]:
+    """The blocks that are not marked away; where words in class or id would leave none, only tags and roles mark."""
+    blocks, marks, strengths = _parse(source)
+    if not strengths:
+        return blocks
+    article = any(not own and len(_unit(b[0])) < len(b[0]) + (_tag((b[0] or ("",))[-1]) in ("article", "main")) for b, own in zip(blocks, marks, strict=True))
+    weight: dict[int, int] = defaultdict(int)
+    total = 0
+    for block, own in zip(blocks, marks, strict=True):
+        size = max(0, len(block[1]) - block[2])
+        total += size
+        for m in own:
+            weight[m] += size
+    limit = (0.0, 1.1, 1.1, 1.1) if article else (0.0, _WEAK_SHARE, _SHARE, 1.1)
+    away = {m for m, strength in enumerate(strengths) if weight[m] <= limit[strength] * total}
+    return [b for b, own in zip(blocks, marks, strict=True) if away.isdisjoint(own)] or blocks
+
+
+def _parse(source: str) -> tuple[list[Block], list[tuple[int, ...]], list[int]]:
+    """(paths of the containers around it, the outermost first; text; characters in links; whether it is a heading) of the blocks that tags and roles do not
+    mark away, the numbers of the parts around each that words mark, and how these are marked."""
     out: list[Block] = []
-    # (tag, path, away, paths of the containers)
-    stack: list[tuple[str, str, bool, tuple[str, ...]]] = [("", "", False, ())]
+    marks: list[tuple[int, ...]] = []
+    strengths: list[int] = []
+    # (tag, path, away, paths of the containers, parts that words mark)
+    stack: list[tuple[str, str, bool, tuple[str, ...], tuple[int, ...]]] = [("", "", False, (), ())]
     text: list[str] = []
     links, in_link = 0, 0
 
+    opened: Counter = Counter()  # tags in the stack
+
+    def cut(i: int) -> None:
+        for x in stack[i:]:
+            opened[x[0]] -= 1
+        del stack[i:]
+
+    def close(tag: str) -> None:
+        if opened[tag]:
+            cut(next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag))
+
     def flush() -> None:
         nonlocal links
         if text:
@@ -72,6 +124,7 @@ def _parse(source: str, by_words: bool) -> list[Block]:
                 whole = " ".join(html.unescape("".join(text)).split())
                 if whole:
                     out.append((stack[-1][3], whole, links, stack[-1][0] in _HEADINGS))
+                    marks.append(stack[-1][4])
             text.clear()
         links = 0
 
@@ -93,42 +146,46 @@ def _parse(source: str, by_words: bool) -> list[Block]:
             if tag == "button" or tag == "label":
                 flush()
                 if closing:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
-                            break
+                    close(tag)
                 else:
                     top = stack[-1]
-                    stack.append((tag, top[1], True, top[3]))
+                    stack.append((tag, top[1], True, *top[3:]))
+                    opened[tag] += 1
             continue
         flush()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            close(tag)
             continue
         in_link = 0
         if tag in _VOID:
             continue
         if stack[-1][0] == "p":
-            stack.pop()
+            cut(-1)
         closes = _CLOSES.get(tag)
         while closes and stack[-1][0] in closes:
-            stack.pop()
+            cut(-1)
         top = stack[-1]
-        away, classes = top[2] or tag in _AWAY, ""
+        away, classes, marked = top[2] or tag in _AWAY, "", 0
         if attributes and not away:
             for name, *values in _NAMED.findall(attributes):
                 value = next((v for v in values if v), "")
                 if name.lower() == "class":
                     classes = ".".join(sorted(_DIGITS.sub("#", value).split()))
-                found = _WORDS.findall(_CAMEL.sub(" ", _STATE.sub(" ", value)).lower())
-                away = away or (name.lower() == "role" and value.lower() in _ROLES) or (by_words and tag not in _KEPT and not _AWAY_WORDS.isdisjoint(found))
-        path = f"{top[1]}>{tag}{'.' if classes else ''}{classes}"
-        stack.append((tag, path, away, (*top[3], path) if tag in _CONTAINERS else top[3]))
+                if name.lower() == "role":
+                    away = away or value.lower() in _ROLES
+                elif tag not in _KEPT:
+                    marked = max(marked, _strength(value))
+        path, around, own = top[1], top[3], top[4]
+        if len(stack) <= DEEPEST:
+            path = f"{path}>{tag}{'.' if classes else ''}{classes}"
+            around = (*around, path) if tag in _CONTAINERS else around
+            if marked and not away:
+                own = (*own, len(strengths))
+                strengths.append(marked)
+        stack.append((tag, path, away, around, own))
+        opened[tag] += 1
     flush()
-    return out
+    return out, marks, strengths
 
 
 def _tag(path: str) -> str:
