@@ -2,8 +2,10 @@
 
 1. One pass over the texts gives the pieces (ids counted, their CRC kept), written to the shared folder.
 2. Only the histogram of piece lengths (at most ``capacity`` rows) reaches the driver. There, best-fit decreasing gives the
-   incumbent, and bin completion branches on the largest remaining length: undominated fillings of the rest of its bin, least waste
-   first, pruned when the waste exceeds what a better solution may have. Lengths with many pieces are completed many bins at a time.
+   incumbent, and bin completion branches on the largest remaining length: all undominated fillings of the rest of its bin, least waste
+   first, pruned when the waste exceeds what a better solution may have. Lengths with many pieces are completed many bins at a time, then one by one.
+   The search looks at `nodes` fillings at most and then keeps the incumbent; nodes=None goes on to the proof. Column `proved` says whether the number
+   of sequences is proved to be the least.
 3. The plan (ranges of ranks within a length -> sequence and offset; its rows are bounded by the number of lengths, not by the
    data) is shipped back, and every piece finds its place by its rank within its length. Ranks come from salted groups, so a
    length that holds a third of all pieces is dealt over many tasks.
@@ -17,8 +19,9 @@ from __future__ import annotations
 import array
 import json
 import os
+import sys
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -31,8 +34,7 @@ from .common import chunks, staged, table
 
 CAPACITY = 1024
 END_ID = 2
-NODES = 4000
-FILLINGS = 24
+NODES = 20_000
 _loaded: dict[str, object] = {}
 
 
@@ -159,44 +161,64 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return best
 
 
-def fillings(room: int, counts: dict[int, int], sizes: list[int], most_waste: int, limit: int = FILLINGS) -> list[tuple[tuple[int, ...], int]]:
-    """Undominated ways to fill `room`, least waste first: none leaves room for a remaining piece, and none has a piece that a longer remaining one could replace."""
-    out: list[tuple[tuple[int, ...], int]] = []
-    budget = [40 * limit]
+def fillings(room: int, counts: dict[int, int], sizes: list[int], most_waste: int, seen: list[int] | None = None) -> Iterator[tuple[tuple[int, ...], int]]:
+    """All undominated ways to fill `room` with a waste of at most `most_waste`, least waste first, one by one.
 
-    def grow(space: int, upto: int, chosen: tuple[int, ...]) -> None:
-        if len(out) >= limit or budget[0] <= 0:
-            return
-        budget[0] -= 1
-        j = min(upto, bisect_left(sizes, space + 1))
-        used = Counter(chosen)
-        fits = [s for s in sizes[max(0, j - 6) : j] if counts[s] > used[s]]
-        if not fits:
-            smaller = [s for s in sizes[: bisect_left(sizes, space + 1)] if counts[s] > used[s]]
-            longer = any(counts[t] > used[t] for s in used for t in sizes[bisect_left(sizes, s + 1) : bisect_left(sizes, s + space + 1)])
-            if not smaller and not longer and space <= most_waste:
-                out.append((chosen, space))
+    Undominated: no remaining piece fits in the waste, and no piece can give way to a longer remaining one. Which sums the pieces up to a size can reach is
+    kept as bits, so only branches that end in the wanted sum are entered. seen[0] counts ways looked at.
+    """
+    sizes = [s for s in sizes[: bisect_right(sizes, room)] if counts[s]]
+    reach, every = [1], (1 << (room + 1)) - 1
+    for s in sizes:
+        bits, left, k = reach[-1], min(counts[s], room // s), 1
+        while left:
+            k = min(k, left)
+            bits |= (bits << (s * k)) & every
+            left, k = left - k, 2 * k
+        reach.append(bits)
+
+    def grow(space: int, j: int) -> Iterator[tuple[int, ...]]:
+        if not space:
+            yield ()
             return
-        for s in reversed(fits):
-            grow(space - s, bisect_left(sizes, s) + 1, chosen + (s,))
-
-    grow(room, len(sizes), ())
-    return sorted(set(out), key=lambda x: (x[1], len(x[0]), [-s for s in x[0]]))
-
-
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
-    """As few bins as found: the incumbent is best-fit decreasing; the search ends when it meets the lower bound or after `nodes` nodes (the incumbent is then kept)."""
+        for i in range(min(j, bisect_right(sizes, space)), 0, -1):
+            if not reach[i] >> space & 1:
+                return
+            s = sizes[i - 1]
+            for c in range(min(counts[s], space // s), 0, -1):
+                if reach[i - 1] >> (space - c * s) & 1:
+                    for rest in grow(space - c * s, i - 1):
+                        yield (s,) * c + rest
+
+    for waste in range(min(room, most_waste) + 1):
+        for chosen in grow(room - waste, len(sizes)):
+            if seen is not None:
+                seen[0] += 1
+            used = Counter(chosen)
+            if any(counts[s] > used[s] for s in sizes[: bisect_right(sizes, waste)]):
+                continue
+            if any(counts[t] > used[t] for s in used for t in sizes[bisect_right(sizes, s) : bisect_right(sizes, s + waste)]):
+                continue
+            yield chosen, waste
+
+
+def solve(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES) -> tuple[Plan, bool]:
+    """As few bins as found, and whether that is proved to be the least.
+
+    The incumbent is best-fit decreasing. The search ends when it meets the lower bound, when all branches are done (both are proofs), or after `nodes`
+    fillings; the incumbent is then kept. nodes=None is the exact way: it always ends with a proof, in time that may be exponential.
+    """
     counts = {s: n for s, n in counts.items() if n}
     best = best_fit(counts, capacity)
     total = sum(s * n for s, n in counts.items())
     size = lambda plan: sum(n for _, n in plan)
     bound, spent = lower_bound(counts, capacity), [0]
+    over = lambda: (nodes is not None and spent[0] >= nodes) or size(best) == bound
 
     def search(left: dict[int, int], sizes: list[int], plan: Plan, waste: int) -> None:
         nonlocal best
-        if spent[0] >= nodes or size(best) == bound:
+        if over():
             return
-        spent[0] += 1
         if not sizes:
             if size(plan) < size(best):
                 best = plan
@@ -210,27 +232,33 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
         top = sizes[-1]
         rest = dict(left)
         rest[top] -= 1
-        for chosen, lost in fillings(capacity - top, rest, [s for s in sizes if rest[s]], allowed):
+        for chosen, lost in fillings(capacity - top, rest, sizes, allowed, spent):
             need = Counter(chosen + (top,))
-            times = min(left[s] // n for s, n in need.items())
+            most = min(left[s] // n for s, n in need.items())
             if lost:
-                times = min(times, max(1, allowed // lost))
-            after = dict(left)
-            for s, n in need.items():
-                after[s] -= n * times
-            search(after, [s for s in sizes if after[s]], [*plan, ((top, *chosen), times)], waste + lost * times)
-            if spent[0] >= nodes or size(best) == bound:
+                most = min(most, max(1, allowed // lost))
+            for times in {most: None, 1: None}:  # many bins at a time, else this bin alone
+                after = dict(left)
+                for s, n in need.items():
+                    after[s] -= n * times
+                search(after, [s for s in sizes if after[s]], [*plan, ((top, *chosen), times)], waste + lost * times)
+                if over():
+                    return
+            allowed = (size(best) - 1) * capacity - total - waste
+            if lost > allowed:
                 return
 
-    import sys
-
     old = sys.getrecursionlimit()
     sys.setrecursionlimit(max(old, 30_000))
     try:
         search(counts, sorted(counts), [], 0)
     finally:
         sys.setrecursionlimit(old)
-    return best
+    return best, size(best) == bound or nodes is None or spent[0] < nodes
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int | None = NODES) -> Plan:
+    return solve(counts, capacity, nodes)[0]
 
 
 def ranges(plan: Plan) -> dict[int, dict[str, np.ndarray | list]]:
@@ -255,12 +283,13 @@ def ranges(plan: Plan) -> dict[int, dict[str, np.ndarray | list]]:
     return {s: {k: np.array(v, np.int64) for k, v in r.items()} for s, r in out.items()}
 
 
-def pack(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, rows_per_group: int = 200_000) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
+def pack(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, nodes: int | None = NODES, rows_per_group: int = 200_000) -> DataFrame:
+    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset, proved."""
     kind = docs.schema[id_col].dataType.simpleString()
     cut = staged(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces")
     histogram = {r.length: r["count"] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
-    place = docs.sparkSession.sparkContext.broadcast(ranges(bin_completion(histogram, capacity)))
+    plan, proved = solve(histogram, capacity, nodes)
+    place = docs.sparkSession.sparkContext.broadcast(ranges(plan))
     salts = int(min(4096, max(64, max(histogram.values(), default=0) // rows_per_group)))
 
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
@@ -283,7 +312,7 @@ def pack(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "piece", "start", "length", "ids_crc32")] + [pa.array(sequence), pa.array(offset)], ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     out = ranked.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return out.withColumnRenamed("id", id_col)
+    return out.withColumnRenamed("id", id_col).withColumn("proved", F.lit(proved))
 
 
 def byte_bpe() -> str:
