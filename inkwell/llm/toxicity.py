@@ -88,24 +88,33 @@ def log_odds(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_other
 
 
 def segments(scores: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, stop, score), left to right, in linear time."""
-    stack: list[tuple[int, int, float, float]] = []  # start, stop, sum before, sum after
+    """All maximal scoring segments (start, stop, score), left to right.
+
+    Linear time: each segment keeps the place of the last one before it with a lower left sum, and a search goes from place to place; what it
+    passes over is never looked at again, as later searches go round it.
+    """
+    stack: list[tuple[int, int, float, float, int]] = []  # start, stop, sum before, sum after, last one with a lower sum before
     total = 0.0
     for i, s in enumerate(scores):
         before, total = total, total + s
         if s <= 0:
             continue
-        start, stop, low, high = i, i + 1, before, total
-        while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= low:
-                j -= 1
-            if j < 0 or stack[j][3] >= high:
-                stack.append((start, stop, low, high))
-                break
-            start, low = stack[j][0], stack[j][2]
+        start, low, j = i, before, len(stack) - 1
+        while j >= 0 and stack[j][2] >= low:
+            j = stack[j][4]
+        while j >= 0 and stack[j][3] < total:
+            start, _, low, _, up = stack[j]
             del stack[j:]
-    return [(a, b, high - low) for a, b, low, high in stack]
+            j = up
+        stack.append((start, i + 1, low, total, j))
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
+
+
+def _origins(text: str, low: str) -> list[int] | None:
+    """For each character of the lower-cased text the one it comes from; None where they are the same."""
+    if len(low) == len(text):
+        return None
+    return [i for i, c in enumerate(text) for _ in c.lower()]
 
 
 def found(words: list[str], scores: Scores) -> list[tuple[int, int, float]]:
@@ -240,11 +249,10 @@ def score_toxicity(docs: DataFrame, model: Model, *, id_col: str = "doc_id", tex
                 tops.append(top)
                 totals.append(total)
                 some = [(a, b, e) for a, b, s in segs if (e := m.lam * s - cut(max(1, len(words)))) > 0]
-                if some and len(low) == len(text):
-                    spans = [x.span() for x in _WORD.finditer(low)]
-                    some = [{"start": spans[a][0], "stop": spans[b - 1][1], "evidence": e} for a, b, e in some]
-                else:
-                    some = [{"start": None, "stop": None, "evidence": e} for _, _, e in some]
+                if some:
+                    spans, origin = [x.span() for x in _WORD.finditer(low)], _origins(text, low)
+                    places = [(spans[a][0], spans[b - 1][1], e) for a, b, e in some]
+                    some = [{"start": x if origin is None else origin[x], "stop": y if origin is None else origin[y - 1] + 1, "evidence": e} for x, y, e in places]
                 passages.append(some)
             p = m.probability(np.array(tops, float), np.array(totals, float)) if tops else np.zeros(0)
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(p), pa.array(passages, pa.list_(passage))], ["id", "score", "passages"])
