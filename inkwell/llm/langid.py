@@ -4,7 +4,7 @@ Each letter has a random vector of +1 and -1 (made from its code point, so that
 vectors, each permuted (rotated) by its place; a text's vector bundles (adds) the vectors of its n-grams; a language's prototype bundles
 its training texts. Prototypes are normalised and centred (their mean is what all languages share); a text gets the language of the largest cosine.
 
-Texts are lower-cased; all that is not a letter parts words and is one boundary symbol. Both passes are plain maps; training sends one integer vector per task
+The table of n-gram counts of a slice of texts is built in pieces of bounded size, for any number of texts and distinct letters. Texts are lower-cased; all that is not a letter parts words and is one boundary symbol. Both passes are plain maps; training sends one integer vector per task
 and language, so its sums are exact and do not depend on how the rows are dealt.
 
 Defined results: `und` and score 0 where the text is null or has no letter, or where nothing was learned; rows without a language are not
@@ -61,29 +61,42 @@ def text_vectors(texts: list[str], groups: np.ndarray | None = None, d: int = DI
         points, doc = np.concatenate((points, np.zeros(gram, np.int64))), np.concatenate((doc, np.full(gram, doc[-1] if len(doc) else 0)))
     letters, compact = np.unique(points, return_inverse=True)
     k = len(letters)
-    if k**gram * max(1, n_out) >= 1 << 62:
-        raise ValueError("too many distinct letters in one slice")
-    code = np.zeros(len(points) - gram + 1, np.int64)
-    for j in range(gram):
-        code = code * k + compact[j : len(points) - gram + 1 + j]
-    owner = groups[doc[: len(code)]]
+    n = len(points) - gram + 1
+    owner = groups[doc[:n]]
     # within one text: an n-gram may end with the boundary that closes the text, not go on into the next one
-    inside = doc[gram - 1 :] == doc[: len(code)]
-    closing = ~inside & (doc[gram - 2 : len(points) - 1] == doc[: len(code)])
-    code = np.where(closing, code - compact[gram - 1 :], code) if letters[0] == 0 else code
-    use = inside | closing
-    code, owner = code[use], owner[use]
-    distinct, at = np.unique(code, return_inverse=True)
+    inside = doc[gram - 1 :] == doc[:n]
+    closing = ~inside & (doc[gram - 2 : len(points) - 1] == doc[:n])
+    use = np.flatnonzero(inside | closing)
+    if letters[0] == 0:
+        last = np.where(closing, 0, compact[gram - 1 :])
+    else:
+        last = compact[gram - 1 :]
+    columns = [(compact[j : n + j] if j < gram - 1 else last)[use] for j in range(gram)]
+    code, size = columns[0], k
+    for c in columns[1:]:
+        if size * k >= 1 << 62:  # as many numbers as are in use
+            held, code = np.unique(code, return_inverse=True)
+            size = len(held)
+        code, size = code * k + c, size * k
+    owner = owner[use]
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    new = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
+    ends, head = np.concatenate((new[1:], [len(code)])), order[new]
     out = np.zeros((n_out, d), np.float32)
     own = letter_vectors(letters, d)
     own[letters == 0] = np.abs(own[letters == 0])
-    for i in range(0, len(distinct), 8192):
-        part, vectors = distinct[i : i + 8192], None
+    turned = [np.roll(own, gram - 1 - j, axis=1) for j in range(gram)] if k * d <= 1 << 24 else None
+    step = max(256, min(8192, (1 << 22) // max(1, n_out)))  # the table of counts is bounded by 32 MB
+    for i in range(0, len(new), step):
+        vectors = None
         for j in range(gram):
-            v = np.roll(own, gram - 1 - j, axis=1)[(part // k ** (gram - 1 - j)) % k]
+            pick = columns[j][head[i : i + step]]
+            v = turned[j][pick] if turned else np.roll(own[pick], gram - 1 - j, axis=1)
             vectors = v if vectors is None else vectors * v
-        pick = (at >= i) & (at < i + 8192) if len(distinct) > 8192 else slice(None)
-        counts = np.bincount(owner[pick] * len(part) + at[pick] - i, minlength=n_out * len(part)).reshape(n_out, len(part))
+        a, b = new[i], ends[min(i + step, len(new)) - 1]
+        place = np.repeat(np.arange(len(vectors)), (ends - new)[i : i + step])
+        counts = np.bincount(owner[order[a:b]] * len(vectors) + place, minlength=n_out * len(vectors)).reshape(n_out, len(vectors))
         out += counts.astype(np.float32) @ vectors.astype(np.float32)
     return out, some
 
@@ -93,7 +106,7 @@ def learn(rows: DataFrame, d: int = DIMENSIONS) -> dict[str, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for part in chunks(batches, "text", 1 << 20):
+        for part in chunks(batches, "text", 1 << 20, rows=16384):
             langs, groups = np.unique(np.array(part.column("lang").to_pylist(), object), return_inverse=True)
             vectors, _ = text_vectors([t or "" for t in part.column("text").to_pylist()], groups, d)
             for lang, v in zip(langs, vectors, strict=True):
@@ -119,7 +132,7 @@ def identify(docs: DataFrame, train: DataFrame, *, id_col: str = "doc_id", text_
     prototypes = np.array([*learned.values()], np.float32).reshape(len(names), DIMENSIONS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text", 1 << 19):
+        for part in chunks(batches, "text", 1 << 19, rows=2048):
             vectors, some = text_vectors([t or "" for t in part.column("text").to_pylist()])
             pred, score = np.full(part.num_rows, "und", object), np.zeros(part.num_rows)
             if len(names):
