@@ -4,8 +4,8 @@ A shard is a slice of a task's documents. Its text is the sequence of word ids o
 ends a stretch, and stretches shorter than the shortest window cannot hold one, so they are left out before the index is built.
 The index is the usual one: suffix array by prefix doubling, Burrows-Wheeler transform, wavelet matrix for ranks, every
 ``SAMPLE``-th suffix position kept. All windows are searched backward at once (numpy arrays of intervals), their occurrences located by
-walking to a sampled position, and the word ranges merged to spans. No shuffle; only the benchmark is shipped to the tasks, in
-blocks of ``block_bytes`` of text, so its size is bounded per block.
+walking to a sampled position, and the word ranges merged to spans. No shuffle; only the benchmark is shipped to the tasks, one
+block of ``block_bytes`` of text at a time.
 
 Words: lower-cased A-Z, then runs of ASCII letters, digits and any non-ASCII characters. Defined results: a null or empty
 document has no words, no spans and is not contaminated; a null or empty item has no window; an item with a null id still
@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, raw
+from .common import chunks, raw, staged
 
 WINDOW = 13
 SAMPLE = 8
@@ -197,36 +198,73 @@ def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
     return [{"start": len(text[:a].decode(errors="replace")), "end": len(text[:b].decode(errors="replace"))} for a, b in out]
 
 
+_SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _hits(source: DataFrame, block, by_text: bool) -> DataFrame:
+    """Per row of source (id, text): what one block of the benchmark marks. by_text: a hash of the text too, and only rows with a mark."""
+    kind = source.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text", SHARD_BYTES):
+            texts = raw(part, "text")
+            n_words, hit, doc, items = search(texts, block.value)
+            at = np.concatenate(([0], np.cumsum(n_words)))
+            runs = [[] for _ in texts]
+            for i in np.unique(doc[hit]):
+                own = hit[at[i] : at[i + 1]].astype(np.int8)
+                change = np.flatnonzero(np.diff(np.concatenate(([0], own, [0]))))
+                runs[i] = [{"start": int(x), "end": int(y)} for x, y in zip(change[::2], change[1::2], strict=True)]
+            columns = [part.column("id"), pa.array(n_words, pa.int64()), pa.array(runs, _SPAN), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, part.column("h" if by_text else "text")], ["id", "n_words", "runs", "item_ids", "h" if by_text else "text"])
+
+    rows = source.withColumn("h", F.xxhash64("text")) if by_text else source
+    out = rows.mapInArrow(run, f"id {kind}, n_words long, runs array<struct<start:int,end:int>>, item_ids array<string>, {'h long' if by_text else 'text string'}")
+    return out.where("size(runs) > 0") if by_text else out
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = 64 << 20) -> DataFrame:
-    """Per document: id, n_words, n_hit, item_ids (sorted), spans (character ranges to remove), contaminated (20 n_hit >= n_words > 0)."""
+    """Per document: id, n_words, n_hit, item_ids (sorted), spans (character ranges to remove), contaminated (20 n_hit >= n_words > 0).
+
+    A benchmark of more than block_bytes is taken block by block: one pass over the documents each, whose marks are written to the shared folder before the
+    block is dropped everywhere, then merged by document. So driver and tasks hold one block at a time.
+    """
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text).cast("string").alias("t")).where("t is not null")
     total = bench.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-int(total) // block_bytes))
-    blocks = []
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
+    parts = []
     for b in range(n):
         part = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) if n > 1 else bench
-        blocks.append(spark.sparkContext.broadcast(compile_items([(r.i, r.t.encode()) for r in part.toLocalIterator()], window)))
-    id_type = docs.schema[id_col].dataType
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        block = spark.sparkContext.broadcast(compile_items([(r.i, r.t.encode()) for r in part.toLocalIterator()], window))
+        found = _hits(source, block, n > 1)
+        parts.append(staged(found, "marks") if n > 1 else found)
+        if n > 1:
+            block.destroy()
+    if n == 1:
+        marked = parts[0]
+    else:
+        every = reduce(DataFrame.union, parts).groupBy(F.struct("id", "h").alias("k")).agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+        keyed = source.withColumn("k", F.struct("id", F.xxhash64("text").alias("h")))  # equal rows have equal marks
+        marked = keyed.join(every, "k", "left").select("id", F.lit(None).cast("long").alias("n_words"), "runs", "item_ids", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text", SHARD_BYTES):
-            texts = raw(part, "text")
-            merged = None
-            for block in blocks:
-                n_words, hit, doc, items = search(texts, block.value)
-                merged = (hit, items) if merged is None else (merged[0] | hit, [a | b for a, b in zip(merged[1], items, strict=True)])
-            hit, items = merged
-            n_hit = np.bincount(doc[hit], minlength=len(texts))
-            at = np.concatenate(([0], np.cumsum(n_words)))
-            spans = [_spans(texts[i], hit[at[i] : at[i + 1]]) if n_hit[i] else [] for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                ["id", "n_words", "n_hit", "item_ids", "spans"],
-            )
-
-    out = source.mapInArrow(run, f"id {id_type.simpleString()}, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>")
+            texts, known = raw(part, "text"), part.column("n_words").to_pylist()
+            n_words, n_hit, spans = [], [], []
+            for text, size, runs in zip(texts, known, part.column("runs").to_pylist(), strict=True):
+                hit = np.zeros(size if size is not None else len(words(text)), bool)
+                for r in runs or ():
+                    hit[r["start"] : r["end"]] = True
+                n_words.append(len(hit))
+                n_hit.append(int(hit.sum()))
+                spans.append(_spans(text, hit) if n_hit[-1] else [])
+            items = [x or [] for x in part.column("item_ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN)], ["id", "n_words", "n_hit", "item_ids", "spans"])
+
+    out = marked.mapInArrow(run, f"id {kind}, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>")
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words")).withColumnRenamed("id", id_col)
 
 
