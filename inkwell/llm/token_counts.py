@@ -6,14 +6,17 @@ the fewest pieces) depends on its ancestors only, so it is computed once for all
 at its terminal. Counts of pre-tokens met are kept in a bounded memo, then looked up and summed per text. No shuffle; the vocabulary has a fixed
 size.
 
-The vocabulary is a parameter: a sentencepiece model's pieces and scores. A character outside it costs its UTF-8 bytes (byte pieces), each at
-``UNKNOWN`` below the lowest score.
+The vocabulary is a parameter: pieces with log-probabilities, or a sentencepiece model's path. A unigram model's scores are taken as they are. The scores of a
+BPE model are no probabilities but (negated) merge ranks, in order of falling frequency; its pieces get the log-probabilities of the Zipf-Mandelbrot law over that rank,
+``1 / (rank + SHIFT)``, normalised. Nothing is trained. Counts are those of this unigram model, not of the BPE merges. A character outside the pieces
+costs its UTF-8 bytes (byte pieces), each at ``UNKNOWN`` below the lowest score.
 
 Defined results: null, empty and blank texts have 0 tokens; repeated rows are counted row by row; null ids are kept.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -25,10 +28,23 @@ from .common import chunks, table
 
 MARK = "▁"
 UNKNOWN = 10.0
+SHIFT = 2.7
 MEMO = 400_000
 _loaded: dict[str, Vocabulary] = {}  # noqa: F821
 
 
+def _is_unigram(scores: list[float]) -> bool:
+    """Whether scores can be log-probabilities. Those of a BPE model are whole numbers, one lower for each merge."""
+    return any(s != int(s) for s in scores)
+
+
+def zipf(scores: dict[str, float], shift: float = SHIFT) -> dict[str, float]:
+    """Log-probabilities of the Zipf-Mandelbrot law over the ranks of falling scores."""
+    order = sorted(scores, key=lambda p: (-scores[p], p))
+    total = math.log(sum(1 / (r + shift) for r in range(len(order))))
+    return {p: -math.log(r + shift) - total for r, p in enumerate(order)}
+
+
 class Vocabulary:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
@@ -41,7 +57,8 @@ class Vocabulary:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        return cls({sp.id_to_piece(i): sp.get_score(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))})
+        scores = {sp.id_to_piece(i): sp.get_score(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+        return cls(scores if _is_unigram(list(scores.values())) else zipf(scores))
 
 
 class Trie:
