@@ -1,10 +1,15 @@
 """Exact top-k by inner product with no-random-access aggregation over sorted lists.
 
-Vectors are packed into blocks (a row each) and queries into blocks of their own; each pair of blocks is one row of a join on the
-candidate block's number, so nothing of the size of queries times candidates is ever a table. Within a block every dimension has its
-list of candidates sorted by value. The lists are read step by step from the end that its sign prefers. A candidate's lower bound adds
-the worst value of each list where it hasn't been seen, its upper bound the value last read there. Reading stops when all that
-was not seen, and all but few of what was, stay below the k-th best lower bound; the scores of the rest are then resolved, and exact.
+Candidates stay where they are read: a task packs its rows into blocks, and a block has, for every dimension, its list of candidates sorted by value.
+Queries come to the tasks in rounds of at most ``round_bytes`` (64 MB), as broadcasts that are dropped after their round; a task returns the k best of each query,
+and these are merged. So nothing of the size of queries times candidates is ever a table, and candidates are not shuffled at all.
+
+Within a block the lists are read slice by slice from the end that a weight's sign prefers. A candidate's lower bound adds the worst value of each list
+where it hasn't been met, its upper bound the value last read there. Reading goes on with the candidates that can still qualify only; it stops
+when all that was not met, and all but few of what was, stay below the k-th best lower bound. The scores of the rest are then resolved, in whole numbers.
+
+Bounds are sums of floating-point numbers, so they are widened by what rounding may take away. Scores are exact: in 64 bits where no sum can leave them, else in Python's
+integers; a component is held at 2**62 and a score at 2**63 - 1.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no part; vectors of another length than the query's neither;
 ties go to the smaller id; rows with the query's own id are left out, and repeated rows count once; null ids take no part; an empty table gives no rows.
@@ -19,25 +24,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import staged, table, unstaged
 
 SCALE = 256
 BLOCK = 4096
 QUERIES = 256
 FEW = 256
+ROUND_BYTES = 64 << 20
+_MOST = 1 << 62
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(int(x.max(initial=0)), -int(x.min(initial=0)))
 
 
 class SortedLists:
-    """A block of candidates: values, and for each dimension each candidate's place in the list sorted by falling value."""
+    """A block of candidates (ids sorted): values, and for each dimension each candidate's place in the list sorted by falling value."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.values = ids[order], values[order].astype(np.float64 if values.size and int(np.abs(values).max()) ** 2 * values.shape[1] >= 1 << 24 else np.float32)
-        by_value = np.argsort(-self.values, axis=0, kind="stable")
-        self.first = np.flatnonzero(np.concatenate(([True], self.ids[1:] != self.ids[:-1])))
+        self.ids, self.exact = ids[order], values[order].astype(np.int64)
+        self.largest = _largest(self.exact)
+        self.values = self.exact.astype(np.float32 if self.largest**2 * values.shape[1] < 1 << 24 else np.float64)
+        self.names, self.of = np.unique(self.ids, return_inverse=True)
+        self.first = np.flatnonzero(np.concatenate(([True], self.of[1:] != self.of[:-1])))
+        by_value = np.argsort(-self.exact, axis=0, kind="stable")
         self.place = np.empty(by_value.shape, np.int32)
         np.put_along_axis(self.place, by_value, np.arange(len(ids), dtype=np.int32)[:, None], axis=0)
-        self.sorted = np.take_along_axis(self.values, by_value, axis=0)
+        self.lists = np.take_along_axis(self.values, by_value, axis=0)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query's number, ids, scores) of the k best of each query but its own; candidates below its floor may be left out.
@@ -45,120 +59,146 @@ class SortedLists:
         All queries read the lists together, to growing depths; lists are read from the front for positive weights and from the back for negative ones.
         """
         n, d = self.values.shape
-        largest = int(np.abs(self.values).max(initial=0)) * int(np.abs(queries.astype(np.int64)).max(initial=0))
-        kind = np.dtype(np.float64 if largest * d >= 1 << 24 else self.values.dtype)  # sums up to there are exact in 32 bits
-        values, lists = self.values.astype(kind, copy=False), self.sorted.astype(kind, copy=False)
-        left, depth = np.arange(len(queries)), n // 8
+        scale = self.largest * _largest(queries) * d
+        kind = np.dtype(np.float64 if scale >= 1 << 24 else self.values.dtype)  # whole numbers up to there are exact in 32 bits, also their sums
+        slack = 0.0 if scale < 1 << 53 else scale * d * 2.0**-48
+        values, lists = self.values.astype(kind, copy=False), self.lists.astype(kind, copy=False)
+        spot = np.searchsorted(self.names, own)
+        known_id = (spot < len(self.names)) & (self.names[np.minimum(spot, len(self.names) - 1)] == own)
+        spot = np.where(known_id, spot, -1)
+        left, depth, rows = np.arange(len(queries)), n // 8, np.arange(n)
         while len(left):
             depth = min(n, max(depth, 64))
             q = queries[left].astype(kind).T
             plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-            front, back = self.place < depth, self.place >= n - depth
+            place, held = (self.place, values) if len(rows) == n else (self.place[rows], values[rows])
+            front, back = place < depth, place >= n - depth
             seen = np.hstack((front, back)).astype(kind)
-            known = np.hstack((values * front, values * back)) @ np.vstack((plus, minus))
+            known = np.hstack((held * front, held * back)) @ np.vstack((plus, minus))
             worst = np.vstack((plus * lists[-1][:, None], minus * lists[0][:, None]))
             last = np.vstack((plus * lists[depth - 1][:, None], minus * lists[n - depth][:, None]))
             low = known + (worst.sum(axis=0) - seen @ worst)
             high = known + (last.sum(axis=0) - seen @ last)
-            mine = self.ids[:, None] == own[left]
+            mine = self.of[rows][:, None] == spot[left]
             low[mine] = high[mine] = -np.inf
             bar = floor[left]
-            if len(self.first) > k:  # an id with several vectors holds one place, so that the k-th bound counts ids
-                each = low if len(self.first) == n else np.maximum.reduceat(low, self.first, axis=0)
-                bar = np.maximum(bar, np.partition(each, len(each) - k, axis=0)[len(each) - k])
-            alive = high >= bar
+            of = self.of[rows]
+            first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            if len(first) > k:  # an id with several vectors holds one place, so that the k-th bound counts ids
+                each = low if len(first) == len(rows) else np.maximum.reduceat(low, first, axis=0)
+                bar = np.maximum(bar, np.partition(each, len(each) - k, axis=0)[len(each) - k] - slack)
+            alive = high + slack >= bar
             alive[mine] = False
             done = (alive.sum(axis=0) <= FEW) | (depth == n)
             for j in np.flatnonzero(done):
-                rest = np.flatnonzero(alive[:, j])
-                score = values[rest].astype(np.int64) @ queries[left[j]].astype(np.int64)
-                best = np.lexsort((self.ids[rest], -score))
-                if len(self.first) < n:  # vectors of one id with equal scores count once
-                    of, to = self.ids[rest][best], score[best]
-                    best = best[np.concatenate(([True], (of[1:] != of[:-1]) | (to[1:] != to[:-1])))[: len(best)]]
+                rest = rows[alive[:, j]]
+                wide = np.int64 if scale < _MOST else object
+                score = self.exact[rest].astype(wide) @ queries[left[j]].astype(wide)
+                if scale >= _MOST:
+                    score = np.array([min((1 << 63) - 1, max(1 - (1 << 63), x)) for x in score], np.int64)
+                best = np.lexsort((self.of[rest], -score))
+                if len(self.first) < n and len(best):  # vectors of one id with equal scores count once
+                    of, to = self.of[rest][best], score[best]
+                    best = best[np.concatenate(([True], (of[1:] != of[:-1]) | (to[1:] != to[:-1])))]
                 best = best[:k]
                 yield int(left[j]), self.ids[rest][best], score[best]
+            rows = rows[alive[:, ~done].any(axis=1)]
             left, depth = left[~done], depth * 3
 
 
-def _packed(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-    """(block, ids, values): distinct rows, with vectors of one length, in blocks of about `per_block` (rows of an id share one); values are 16-bit integers, dimension after dimension per vector."""
-    total = rows.count()
-    n = max(1, -(-total // per_block))
+def _packed(batches: Iterator[pa.RecordBatch], per_block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, values) blocks of rows (id, v) with vectors of one length; repeated rows of a block count once."""
+    held: dict[int, list] = {}
 
-    def distinct(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Without repeated (id, vector) rows."""
+    def block(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        ids, values = (np.concatenate([p[i] for p in parts]) for i in range(2))
         if len(np.unique(ids)) < len(ids):
-            kept = np.unique(np.column_stack((ids, values.astype(np.int64))), axis=0)
-            ids, values = kept[:, 0], kept[:, 1:].astype("<i4")
+            code = np.unique(ids, return_inverse=True)[1]
+            _, first = np.unique(np.column_stack((code, values)), axis=0, return_index=True)
+            ids, values = ids[first], values[first]
         return ids, values
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], tuple[list, list]] = {}
-        for b in batches:
-            block, ids = b.column("block").to_numpy(), b.column("id").to_numpy()
-            lists = b.column("v")
-            at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
-            size = np.diff(at)
-            for x in np.unique(block):
-                for d in np.unique(size[block == x]):
-                    pick = np.flatnonzero((block == x) & (size == d))
-                    own = held.setdefault((int(x), int(d)), ([], []))
-                    own[0].append(ids[pick])
-                    own[1].append(flat[(at[pick] - at[0])[:, None] + np.arange(d)].astype("<i4"))
-                    if sum(map(len, own[0])) > 2 * max(len(own[0][0]), per_block):
-                        own[0][:], own[1][:] = ([a] for a in distinct(*map(np.concatenate, own)))
-        for (x, d), own in sorted(held.items()):
-            ids, values = ([a] for a in distinct(*map(np.concatenate, own)))
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()), pa.array([d], pa.int32()), pa.array([np.concatenate(ids).astype("<i8").tobytes()], pa.binary()), pa.array([np.concatenate(values).tobytes()], pa.binary())], ["block", "d", "ids", "values"])
-
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).repartition(min(n, 20_000), "block")
-    return staged(dealt.mapInArrow(pack, "block int, d int, ids binary, values binary"), name)
-
-
-def top_k(vectors: DataFrame, *, k: int = 5, query: str = "vec_id % 50 = 0", id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE, block: int = BLOCK) -> DataFrame:
+    for b in batches:
+        ids, lists = b.column("id").to_numpy(zero_copy_only=False), b.column("v")
+        at, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+        size = np.diff(at)
+        for d in np.unique(size):
+            pick = np.flatnonzero(size == d)
+            for i in range(0, len(pick), per_block):
+                some = pick[i : i + per_block]
+                own = held.setdefault(int(d), [])
+                own.append((ids[some], flat[(at[some] - at[0])[:, None] + np.arange(d)].reshape(len(some), int(d))))
+                if sum(len(x[0]) for x in own) >= per_block:
+                    yield block(held.pop(int(d)))
+    for d in sorted(held):
+        yield block(held[d])
+
+
+def _best(found: list[tuple[int, object]], k: int) -> list[tuple[int, object]]:
+    return sorted(set(found), key=lambda x: (-x[0], x[1]))[:k]
+
+
+def top_k(vectors: DataFrame, *, k: int = 5, query: str = "vec_id % 50 = 0", id_col: str = "vec_id", vec_col: str = "embedding", scale: int = SCALE, block: int = BLOCK, round_bytes: int = ROUND_BYTES) -> DataFrame:
     """(query_id, rank, id, score) of the k best other rows for each row that meets `query`, by the inner product of floor(scale * x)."""
-    spark = vectors.sparkSession
-    clean = vectors.where(query if query else "true").select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
-    usable = lambda df: df.where(f"id is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(cast(x as double)) = double('infinity'))").select("id", F.expr(f"transform(v, x -> cast(floor({scale} * cast(x as double)) as int))").alias("v"))
-    rows = usable(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")))
-    candidates = _packed(rows, block, "candidates")
-    asked = _packed(usable(clean), QUERIES, "queries")
-    n_blocks = candidates.select("block").distinct().count()
-    groups = max(1, min(n_blocks, -(-n_blocks // 4)))  # each task searches several blocks for the same queries, so that its bar rises
-    pairs = asked.select(F.col("block").alias("q"), "d", F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    grouped = candidates.withColumn("g", F.pmod("block", F.lit(groups)))
-    joined = pairs.join(grouped, ["g", "d"]).repartition(min(20_000, max(8, groups * 4)), "q", "g")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: dict[tuple, SortedLists] = {}
-        floors: dict[tuple, np.ndarray] = {}
-        for b in batches:
-            for r in b.to_pylist():
-                key = (r["block"], r["d"])
-                if key not in lists:
-                    if len(lists) >= 8:
-                        lists.clear()
-                    ids = np.frombuffer(r["ids"], "<i8")
-                    lists[key] = SortedLists(ids, np.frombuffer(r["values"], "<i4").reshape(len(ids), r["d"]))
-                own = np.frombuffer(r["q_ids"], "<i8")
-                floor = floors.setdefault((r["q"], r["d"], own[:1].tobytes()), np.full(len(own), -np.inf))
-                out = ([], [], [])
-                for j, ids, score in lists[key].search(np.frombuffer(r["q_values"], "<i4").reshape(len(own), r["d"]), own, k, floor):
-                    if len(score) == k:
-                        floor[j] = max(floor[j], score[-1])
-                    out[0].extend([int(own[j])] * len(ids))
-                    out[1].extend(ids.tolist())
-                    out[2].extend(score.tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["query_id", "id", "score"])
-
-    found = joined.mapInArrow(search, "query_id long, id long, score long").dropDuplicates(["query_id", "id", "score"])
+    spark, kind = vectors.sparkSession, vectors.schema[id_col].dataType.simpleString()
+
+    def usable(df: DataFrame) -> DataFrame:
+        rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+        rows = rows.where("id is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(cast(x as double)) = double('infinity'))")
+        return rows.select("id", F.expr(f"transform(v, x -> cast(greatest(-{float(_MOST)}D, least({float(_MOST)}D, floor({scale} * cast(x as double)))) as bigint))").alias("v"))
+
+    asked = usable(vectors.where(query) if query else vectors)
+    size = asked.agg(F.sum(8 * F.size("v") + 64).alias("x")).first()[0] or 0
+    rounds = max(1, -(-size // round_bytes))
+    if rounds > 1:
+        asked = staged(asked.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(rounds))), "queries")
+    schema, parts = f"query_id {kind}, id {kind}, score long", []
+    rows = usable(vectors)
+    for r in range(rounds):
+        batches = (asked.where(F.col("round") == r).select("id", "v") if rounds > 1 else asked).toArrow().to_batches()
+        shipped = spark.sparkContext.broadcast(list(_packed(batches, QUERIES)))
+
+        def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            best: dict[int, list[list]] = {}
+            floors = {i: np.full(len(ids), -np.inf) for i, (ids, _) in enumerate(shipped.value)}
+            id_type = None
+            for ids, values in _packed(_typed(batches, kinds := []), block):
+                id_type, lists = kinds[0], SortedLists(ids, values)
+                for i, (own, asked_values) in enumerate(shipped.value):
+                    if asked_values.shape[1] != values.shape[1]:
+                        continue
+                    held = best.setdefault(i, [[] for _ in own])
+                    for j, some, score in lists.search(asked_values, own, k, floors[i]):
+                        held[j] = _best([*held[j], *zip(score.tolist(), some.tolist(), strict=True)], k)
+                        if len(held[j]) == k:
+                            floors[i][j] = held[j][-1][0]
+            for i, held in best.items():
+                out = [(q, x, s) for q, found in zip(shipped.value[i][0].tolist(), held, strict=True) for s, x in found]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (id_type, id_type, pa.int64()), strict=True)], ["query_id", "id", "score"])
+
+        found = rows.mapInArrow(search, schema)
+        parts.append(staged(found, "best") if rounds > 1 else found)
+        if rounds > 1:
+            shipped.destroy()
+    if rounds > 1:
+        unstaged(asked)
+    found = parts[0]
+    for x in parts[1:]:
+        found = found.union(x)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    return found.dropDuplicates(["query_id", "id", "score"]).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
+def _typed(batches: Iterator[pa.RecordBatch], kinds: list) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        kinds.append(b.column("id").type) if not kinds else None
+        yield b
 
 
 def op10_exact_topk(spark, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    found = top_k(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("query_id").cast("long").alias("query_id"), "rank", F.col("id").cast("long").alias("vec_id"), "score")
 
 
 OP10_SQL = """
