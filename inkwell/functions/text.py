@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: White space as members of a character class, for Java and RE2 alike: within a line, and with the line feed and carriage return.
+INLINE = "\t\x0b\x0c\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = INLINE + "\r\n"
+
+
+def strip(text: Column) -> Column:
+    """Without white space (any of Unicode's) at both ends."""
+    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+\\z", "")
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
 def normalize_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
@@ -17,7 +31,7 @@ def lines_of(text: Column) -> Column:
 
 
 def clean_inline(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
 
 
 def sentences_of(text: Column) -> Column:
@@ -27,7 +41,7 @@ def sentences_of(text: Column) -> Column:
 
 
 def no_space_length(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"\s+", ""))
+    return F.length(F.regexp_replace(text, f"[{SPACE}]+", ""))
 
 
 def ellipsis(text: Column) -> Column:
@@ -56,9 +70,16 @@ def curly_quotes(text: Column) -> Column:
 
 
 def natural_key(name: Column) -> Column:
-    """Sorts digit runs by value: each padded to 20 digits, the rest in lower case."""
+    """Sorts digit runs by value: each padded to 20 digits, the rest in lower case. A longer run (without leading zeros) is kept whole behind nines and its length, so that
+    longer numbers sort later and no two share a key."""
     parts = F.regexp_extract_all(F.lower(name), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p)), "")
+
+    def key(p: Column) -> Column:
+        bare = F.regexp_replace(p, "^0+", "")
+        long = F.concat(F.lit("9" * 20), F.lpad(F.length(bare).cast("string"), 10, "0"), bare)
+        return F.when(~p.rlike(r"^\d"), p).when(F.length(bare) > 20, long).otherwise(F.lpad(bare, 20, "0"))
+
+    return F.array_join(F.transform(parts, key), "")
 
 
 def slug(title: Column) -> Column:

@@ -11,10 +11,10 @@ from .segment import lines
 
 def facts(docs: DataFrame, pack: dict[str, str]) -> DataFrame:
     """A row per match of each rule: (columns of docs, line_no, kind, value, context). All rules run in one projection over each line, the cheap union of patterns first."""
-    some = lines(docs).where(F.col("line").rlike("|".join(f"(?:{p})" for p in pack.values())))
+    some = lines(docs).where(F.col("line").rlike("(?U)" + "|".join(f"(?:{p})" for p in pack.values())))
 
     def matches(kind: str, pattern: str):
-        return F.transform(F.regexp_extract_all("line", F.lit(f"({pattern})"), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+        return F.transform(F.regexp_extract_all("line", F.lit(f"(?U)({pattern})"), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
     found = F.flatten(F.array(*[matches(k, p) for k, p in pack.items()]))
     return some.withColumn("m", F.explode(found)).select("*", "m.kind", "m.value", F.expr("left(trim(line), 240)").alias("context")).drop("m", "line")
@@ -22,7 +22,7 @@ def facts(docs: DataFrame, pack: dict[str, str]) -> DataFrame:
 
 def flags(docs: DataFrame, pack: dict[str, str]) -> DataFrame:
     """A row per line and rule that it meets."""
-    which = F.array_compact(F.array(*[F.when(F.col("line").rlike(p), F.lit(k)) for k, p in pack.items()]))
+    which = F.array_compact(F.array(*[F.when(F.col("line").rlike(f"(?U){p}"), F.lit(k)) for k, p in pack.items()]))
     return lines(docs).withColumn("rule", F.explode(which)).withColumn("context", F.expr("left(trim(line), 240)")).drop("line")
 
 

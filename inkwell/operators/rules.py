@@ -78,6 +78,28 @@ LEDGER_STATUSES = (
     "confirmed_error", "confirmed_internal_marker", "accepted_direct", "contextual_canon", "canon_hold", "blocking_hold", "policy_watchlist", "style_watchlist", "ledger_needed",
     "policy_choice", "genre_allowed", "blocked", "needs_human", "style_only", "reseal_required", "sealed", "rejected",
 )
+ROLE_SUFFIXES = ("회장", "대표", "팀장", "부장", "과장", "실장", "장로", "궁주", "맹주", "소저", "공자", "도련님", "사부", "스승", "PB")
+KIN_SUFFIXES = ("아버지", "어머니", "부친", "모친", "숙부", "숙모", "형님", "누님", "오라버니", "동생", "사촌", "정혼자", "장인", "장모", "사위", "며느리", "할아버지", "할머니")
+HARD_CARRYOVER_KINDS = ("date", "date_with_weekday", "absolute_date", "relative_time", "time", "money", "percent", "title_or_role", "kin_title", "state_carryover")
+#: (subtype, value, replacement, pattern, severity)
+PROOFREAD = (
+    ("surface_typo", "피난 주", "피난 중", r"피난\s+주(?=에도|에|에는|를|가|\b)", "P3"),
+    ("surface_typo", "숙식간", "순식간", r"숙식간", "P3"),
+    ("surface_typo", "정도록", "정도로", r"정도록", "P3"),
+    ("surface_spacing", "책임의무게", "책임의 무게", r"책임의무게", "P3"),
+    ("surface_spacing", "말하지마요", "말하지 마요", r"말하지마요", "P3"),
+    ("surface_typo", "고았다", "고왔다", r"고았다", "P3"),
+)
+EMBRACE = r"제품에\s*(?:끌어안|껴안|안으며|안고)"
+NUMERIC_GAP = r"\b11자(?:의)?\s*틈새"
+NIB = r"슬릿|펜촉|모세관|이리듐"
+#: Feature: (terms, weight, density of the full weight).
+DENSITIES = {
+    "stock_reaction_density": (("숨을 삼켰다", "마른침", "입을 열었다", "시선을 돌렸다", "고개를 끄덕였다", "눈을 크게 떴다", "입을 다물지 못했다", "침묵이 내려앉았다"), 18, 8),
+    "abstract_intensifier_density": (("완벽한", "완벽하게", "거대한", "차가운", "서늘한", "압도적인", "압도감", "본능적으로", "운명적인", "기묘한", "묵직한"), 16, 10),
+    "dramatic_cadence_density": (("그야말로", "말 그대로", "순식간에", "한순간", "어느새", "그 순간", "바로 그때", "그때였다", "마침내", "결국", "더 이상"), 16, 12),
+    "metaphor_density": (("마치", "듯했다", "듯한", "것처럼", "처럼", "같았다", "같은"), 12, 14),
+}
 # End of the fixed values.
 
 #: For text in Latin script.

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lines_of, normalize_newlines, sentences_of
+from ..functions.text import lines_of, sentences_of
+from .headings import chapters
 
-# Heading families (a marker, then a number), in their order of precedence.
-HEADINGS = (r"^\s*#*\s*ⓚ\s*제?\s*(\d+)\s*화?\s*[.:\-–—]?\s*(.*)$", r"^\s*#+\s*제?\s*(\d+)\s*(?:화|회|장|편)?\s*[.:\-–—]?\s*(.*)$", r"^\s*(?:[Cc]hapter|[Ee]pisode|[Ee]p\.?)\s*(\d+)\s*[.:\-–—]?\s*(.*)$", r"^\s*제?\s*(\d+)\s*(?:화|회|장|편|챕터)\s*[.:\-–—]?\s*(.*)$")
-# End of the fixed values.
+__all__ = ["chapters", "lines", "sentences"]
 
 
 def lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -19,25 +18,3 @@ def lines(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def sentences(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*[c for c in docs.columns if c != text], F.posexplode(sentences_of(F.col(text))).alias("sentence_no", "sentence"))
-
-
-def chapters(works: DataFrame, work: str = "work_id", text: str = "text") -> DataFrame:
-    """Split each text at its heading lines: (work, chapter_no, episode, base_episode, title, text, start_offset). Text before the first heading goes; without
-    headings the whole text is chapter 001; the n-th repeat of an episode is suffixed _n. One task holds one work's lines, never several works' together."""
-    body = works.select(F.col(work).alias("work_id"), normalize_newlines(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    at = body.select("work_id", "text", F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    number = F.coalesce(*[F.when(F.col("line").rlike(p), F.regexp_extract("line", p, 1)) for p in HEADINGS])
-    title = F.coalesce(*[F.when(F.col("line").rlike(p), F.trim(F.regexp_extract("line", p, 2))) for p in HEADINGS])
-    order = Window.partitionBy("work_id").orderBy("n")
-    offset = F.sum(F.length("line") + 1).over(order) - F.length("line") - 1
-    heads = at.withColumn("begin", offset).withColumn("episode", number).withColumn("title", title).where("episode is not null")
-    heads = heads.select("work_id", "episode", "title", "begin", (F.col("begin") + F.length("line")).alias("stop"), "n")
-    heads = heads.withColumn("next", F.lead("begin").over(order)).withColumn("chapter_no", F.row_number().over(order)).withColumn("base", F.lpad("episode", 3, "0"))
-    nth = F.row_number().over(Window.partitionBy("work_id", "base").orderBy("n"))
-    heads = heads.withColumn("nth", nth)
-    cut = body.join(heads, "work_id").select(
-        "work_id", "chapter_no", F.when(F.col("nth") > 1, F.concat("base", F.lit("_"), "nth")).otherwise(F.col("base")).alias("episode"), F.col("base").alias("base_episode"), "title",
-        F.expr("substring(text, stop + 1, coalesce(next, length(text)) - stop)").alias("text"), F.col("stop").cast("int").alias("start_offset"),
-    )
-    whole = body.join(heads.select("work_id").distinct(), "work_id", "left_anti").select("work_id", F.lit(1).alias("chapter_no"), F.lit("001").alias("episode"), F.lit("001").alias("base_episode"), F.lit("").alias("title"), "text", F.lit(0).alias("start_offset"))
-    return cut.unionByName(whole)

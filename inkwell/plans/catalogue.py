@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import html_body, natural_key, occurrences, slug
+from ..functions.text import SPACE, html_body, natural_key, occurrences, slug
 from ..operators import changes, integrity, metrics, narrative, review, rules, segment
+from . import korean, manuscript
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,8 +139,8 @@ QUERIES = {
 _LINES = "CASE WHEN ends_with(text, chr(10)) OR text = '' THEN string_split(text, chr(10))[:-2] ELSE string_split(text, chr(10)) END"
 _L = f"SELECT *, {_LINES} AS l FROM documents"
 _METRICS = f"""
-SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars, CAST(length(regexp_replace(text, '\\s+', '', 'g')) AS BIGINT) AS chars_no_space, length(text) < 4000 AS below_minimum,
-  CAST(greatest(4000 - length(text), 0) AS BIGINT) AS deficit, CAST(len(l) AS BIGINT) AS lines, CAST(len(list_filter(l, lambda x: trim(x) <> '')) AS BIGINT) AS non_empty_lines,
+SELECT doc_id, source, CAST(length(text) AS BIGINT) AS chars, CAST(length(regexp_replace(text, '[{SPACE}]+', '', 'g')) AS BIGINT) AS chars_no_space, length(text) < 4000 AS below_minimum,
+  CAST(greatest(4000 - length(text), 0) AS BIGINT) AS deficit, CAST(len(l) AS BIGINT) AS lines, CAST(len(list_filter(l, lambda x: regexp_matches(x, '[^{SPACE}]'))) AS BIGINT) AS non_empty_lines,
   CAST(len(list_filter(l, lambda x: length(x) >= 120)) AS BIGINT) AS lines_120, CAST(len(list_filter(l, lambda x: length(x) >= 200)) AS BIGINT) AS lines_200,
   CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS bangs, CAST(length(text) - length(replace(text, '?', '')) AS BIGINT) AS questions FROM ({_L})
 """
@@ -286,3 +287,7 @@ SELECT * FROM b ANTI JOIN r USING (work, number)""",
     "work_slug": r"SELECT p_partkey, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(p_name)), '\s+', '-', 'g'), '[^0-9A-Za-z가-힣_.-]', '', 'g'), '-{2,}', '-', 'g'), '^[-.]+|[-.]+$', '', 'g') AS slug FROM part",
     "delivery_hash": "SELECT doc_id, upper(sha256(text)) AS sha256, CAST(strlen(text) AS BIGINT) AS bytes FROM documents",
 }
+
+for _more in (manuscript, korean):
+    QUERIES |= _more.QUERIES
+    ORACLES |= _more.ORACLES
