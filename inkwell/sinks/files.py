@@ -30,8 +30,8 @@ def safe_name(name: Column) -> Column:
 
 def write_chapters(chapters: DataFrame, path: str) -> None:
     """A text per chapter (work_id, episode, text) in folders work_id=/episode=; chapters of an earlier run are gone."""
-    out = chapters.select("work_id", safe_name(F.col("episode")).alias("episode"), F.concat(strip(F.col("text")), F.lit("\n")).alias("value"))
-    out.write.mode("overwrite").option("lineSep", "").partitionBy("work_id", "episode").text(path)
+    out = chapters.select("work_id", safe_name(F.col("episode")).alias("episode"), strip(F.col("text")).alias("value"))
+    out.write.mode("overwrite").partitionBy("work_id", "episode").text(path)
 
 
 def render_template(template: Column, values: dict[str, Column]) -> Column:

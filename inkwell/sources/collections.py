@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import lines_of, natural_key, strip
 from ..operators.headings import is_heading, is_plain_number
@@ -26,7 +27,7 @@ def folder_texts(files: DataFrame, work: str, name: str, text: str = "text") ->
     return parts.select(work, F.array_join(F.array_compact(headed), "\n\n").alias("text"), F.size("f").cast("long").alias("documents"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def hwp_xml_text(documents: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The text of an HWP document's XML: a line per paragraph and per line break in it. Null where the XML can't be read, empty without a body."""
     import xml.etree.ElementTree as ET
