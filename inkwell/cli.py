@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import curly_quotes, ellipsis
-from .operators import changes, metrics, narrative, review, rules, segment
-from .sources import documents, packages
+from .operators import author, changes, contracts, facts, gate, headings, metrics, narrative, protocol, reports, review, rules, segment, sourcecheck, style, typos
+from .sinks import files
+from .sources import collections, documents, packages
 
 
 def _texts(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -37,11 +38,62 @@ def _applied(spark, a) -> DataFrame:
     return changes.apply_gathered(_texts(spark, a).withColumn("listed", chosen.agg(changes.gathered()).scalar()), "listed")
 
 
+def _submissions(spark, a) -> DataFrame:
+    """(path, columns of a submission): one JSON document per file."""
+    rows = spark.read.text(a.input, wholetext=True).select(F.input_file_name().alias("path"), F.from_json("value", contracts.SUBMISSION).alias("d"))
+    return rows.select("path", "d.*")
+
+
+def _findings(spark, a) -> DataFrame:
+    """The findings of submissions, numbered, for author and re-audit reports."""
+    rows = _submissions(spark, a).select("path", F.posexplode("findings").alias("pos", "f"))
+    return rows.select("path", (F.col("pos") + 1).alias("number"), "f.*")
+
+
+def _folders(spark, a) -> DataFrame:
+    """Each folder below the input as one work; its own files as another."""
+    path = F.col("work_id")
+    return collections.folder_texts(_texts(spark, a).select(F.regexp_replace(path, "/[^/]*$", "").alias("work"), path.alias("name"), "text"), "work", "name")
+
+
+def _gate_counts(spark, a) -> DataFrame:
+    works = _texts(spark, a)
+    return gate.evidence(works, "work_id").withColumn("gate_profile", protocol.gate_profile(F.lit(a.profile)))
+
+
+def _written(spark, a) -> DataFrame:
+    if not a.out:
+        raise SystemExit("write-chapters needs --out")
+    files.write_chapters(_chapters(spark, a), a.out)
+    a.out = None
+    return _chapters(spark, a).groupBy("work_id").agg(F.count(F.lit(1)).alias("chapters"))
+
+
 COMMANDS: dict[str, Callable[[SparkSession, argparse.Namespace], DataFrame]] = {
     "inspect-text": lambda s, a: metrics.text_inspection(metrics.chapter_metrics(_chapters(s, a)), "work_id"),
     "chapter-metrics": lambda s, a: metrics.chapter_metrics(_chapters(s, a)),
     "facts": lambda s, a: review.facts(_chapters(s, a), rules.FACTS),
     "hygiene": lambda s, a: review.flags(_chapters(s, a), rules.HYGIENE),
+    "analyze-run": _gate_counts,
+    "list-chapters": lambda s, a: segment.chapters(_texts(s, a)).drop("text"),
+    "write-chapters": _written,
+    "read-folders": _folders,
+    "normalize-manuscript-format": lambda s, a: headings.format_manuscript(_texts(s, a)),
+    "format-flags": lambda s, a: headings.format_flags(_texts(s, a)),
+    "contextual-typos": lambda s, a: typos.contextual_typos(_chapters(s, a)),
+    "enriched-facts": lambda s, a: facts.enrich(review.facts(_chapters(s, a), rules.FACTS)),
+    "timeline": lambda s, a: facts.timeline(_chapters(s, a)),
+    "character-titles": lambda s, a: facts.title_matrix(_chapters(s, a), "work_id", "chapter_no"),
+    "style-features": lambda s, a: style.style_features(_texts(s, a), "work_id"),
+    "style-summary": lambda s, a: style.style_summary(_texts(s, a), "work_id"),
+    "scan-ai-slop": lambda s, a: style.surface_scan(_texts(s, a), "work_id"),
+    "plan-source-repair": lambda s, a: sourcecheck.split_tails(_texts(s, a)).select("work_id", "splits", "text"),
+    "blocked-sources": lambda s, a: sourcecheck.blocked_issues(_texts(s, a), ["work_id"]),
+    "validate-submission": lambda s, a: contracts.validate_submissions(_submissions(s, a), ["path"]),
+    "validate-report": lambda s, a: reports.validate_reports(_texts(s, a)),
+    "render-author-final-report": lambda s, a: author.author_findings(_findings(s, a), "path", "number"),
+    "render-reaudit-report": lambda s, a: author.reaudit_groups(_findings(s, a), "path", "number"),
+    "review-queue": lambda s, a: protocol.review_queue(_texts(s, a).select("work_id", F.lit(a.profile).alias("profile")), "profile"),
     "scan-surface": lambda s, a: review.flags(_texts(s, a), rules.SURFACE),
     "brackets": lambda s, a: narrative.bracket_lines(_chapters(s, a)),
     "conflicts": lambda s, a: narrative.action_conflicts(_chapters(s, a).select(F.struct("work_id", "episode").alias("chapter"), "text"), "chapter"),
@@ -61,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("input", help="file or folder")
     p.add_argument("--changes", help="JSON change list")
     p.add_argument("--accept-judged", action="store_true", help="take judged changes too")
+    p.add_argument("--profile", default="delivery", help="gate profile or an alias of one")
     p.add_argument("--out", help="write Parquet here rather than print")
     a = p.parse_args(argv)
     if a.command == "validate-changes":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+GAP = 65_536
+
 
 def missing_episodes(rows: DataFrame, work: str, number: str) -> DataFrame:
     """(work, number) of the numbers between a work's smallest and largest that no row has. From neighbours, so no full range is built for dense works."""
@@ -12,7 +14,10 @@ def missing_episodes(rows: DataFrame, work: str, number: str) -> DataFrame:
 
     after = F.lead(number).over(Window.partitionBy(work).orderBy(number))
     gaps = rows.where(f"{number} is not null").select(work, number).distinct().withColumn("after", after).where(f"after > {number} + 1")
-    return gaps.select(work, F.explode(F.sequence(F.col(number) + 1, F.col("after") - 1)).alias(number))
+    # one odd number makes a gap of any length: it is listed in pieces, so that no array holds all of it
+    first, last = F.col(number) + 1, F.col("after") - 1
+    pieces = gaps.select(work, last.alias("last_"), F.explode(F.sequence(first, last, F.lit(GAP).cast(gaps.schema[number].dataType))).alias("first_"))
+    return pieces.select(work, F.explode(F.sequence("first_", F.least("last_", F.col("first_") + (GAP - 1)))).alias(number))
 
 
 def duplicate_episodes(rows: DataFrame, work: str, number: str) -> DataFrame:
