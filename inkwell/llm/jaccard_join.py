@@ -13,8 +13,8 @@ The boundary is where the estimated cost of the subsets (their number over the h
 (frequent or not, hash): shingles that many documents share come last, so that lists stay short. Any order gives the same links.
 
 A list is not expanded into all pairs. Its pivot (the smallest class, then, in lists that are still open, others chosen by a hash) is compared with every
-other member; links found make components (min-label propagation over the link table, never on the driver), and a list whose members are in one component
-is done. In what is left open, members of lighter components are compared with those of heavier ones, along so many of their shortest
+other member; links found between components are contracted and make larger ones (star steps over the contracted links, never on the driver), and a list whose
+members are in one component is done. In what is left open, members of lighter components are compared with those of heavier ones, along so many of their shortest
 lists as must hold a common entry. All links between components are thus found, and no pair within one need be looked at: the components are exact.
 
 Before sets are compared, pairs must share as many entries as two linked sets of these sizes share at least in their prefixes; few others are left.
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, free_shuffles, raw, staged, table, unstaged
+from .common import chunks, counted, free_shuffles, raw, staged, table, unstaged
 
 SHINGLE = 4
 THRESHOLD = (85, 100)
@@ -140,27 +140,47 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
-    """(v, c): the smallest vertex that each linked vertex reaches. Alternates large-star and small-star steps (each vertex's larger, then smaller,
-    neighbours are linked with its smallest one) until nothing changes; logarithmic in the longest path; every step is staged."""
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
+def stars(edges: DataFrame, name: str) -> DataFrame:
+    """(u, v) with v the smallest vertex that u reaches, for every other vertex of the staged edges (u, v), u > v.
+
+    Alternates large-star and small-star steps (each vertex's larger, then smaller, neighbours are linked with its smallest one) until
+    nothing changes; logarithmic in the longest path. Every step is one staged table, counted while it is written.
+    """
     before = None
-    if not edges.limit(1).count():
-        return edges.select(F.col("u").alias("v"), F.col("v").alias("c"))
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(m.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         m = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(m, "u").select(F.col("v").alias("x"), "u", "m")
-        small = small.select(F.col("x").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        after = staged(small, name)
-        total = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = large.join(m.hint("merge"), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        after, found = counted(small.select("e.u", "e.v").where("u != v").distinct(), name, F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("check"))
         unstaged(edges)
         edges = after
-        if tuple(total) == before:
-            return edges.select(F.col("u").alias("v"), F.col("v").alias("c"))
-        before = tuple(total)
+        if found == before:
+            return edges
+        before = found
+
+
+def _with_component(rows: DataFrame, of: DataFrame, how: str = "inner", salts: int = 16) -> DataFrame:
+    """rows joined with one row per comp: of a component with many rows each task gets a share, as the small side stands under every salt."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(salts)).cast("int"))
+    every = of.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(every.hint("merge"), ["comp", "salt"], how).drop("salt")
+
+
+def merged(label: DataFrame, links: DataFrame, name: str = "label") -> DataFrame:
+    """The staged label (rep, n, comp) after the links (a, b): only links between components are looked at, contracted to these."""
+    ends = label.select("rep", "comp")
+    edges = links.join(ends.select(F.col("rep").alias("a"), F.col("comp").alias("u")).hint("merge"), "a").join(ends.select(F.col("rep").alias("b"), F.col("comp").alias("v")).hint("merge"), "b")
+    edges, found = counted(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
+    if not found["n"]:
+        return label
+    roots = stars(edges, "edges")
+    out = staged(_with_component(label, roots.select(F.col("u").alias("comp"), F.col("v").alias("root")), "left").select("rep", "n", F.coalesce("root", "comp").alias("comp")), name)
+    for t in (label, roots):
+        unstaged(t)
+    free_shuffles(label.sparkSession)
+    return out
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], k: int, flush: int = 6_000_000, least: int = 3) -> Iterator[pa.RecordBatch]:
@@ -237,28 +257,32 @@ def _needed(threshold: tuple[int, int]) -> tuple[str, str]:
     return f"{den} * least(n, n2) >= {num} * greatest(n, n2)", f"({common} + 1 - greatest(({num} * n + {den - 1}) div {den}, ({num} * n2 + {den - 1}) div {den}))"
 
 
-def _verified(source: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, threshold: tuple[int, int], broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Those of the pairs (a, b, n, n2) that link."""
+def _verified(source: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, threshold: tuple[int, int], broadcast_rows: int = 1_000_000) -> DataFrame | None:
+    """Those of the pairs (a, b, n, n2) that link, or None if none does."""
     spark, kind = source.sparkSession, source.schema["id"].dataType.simpleString()
-    both = pairs.join(keys.select(F.col("rep").alias("a"), F.col("keys").alias("x")), "a").join(keys.select(F.col("rep").alias("b"), F.col("keys").alias("y")), "b")
-    close = staged(both.where(f"size(array_intersect(x, y)) >= {_needed(threshold)[1]}").select("a", "b"), "close")
-    needed = staged(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct(), "needed")
-    few = needed.count() <= broadcast_rows  # 8 MB of ids at most; else both sides are dealt by id
-    sets = staged(source.join(F.broadcast(needed) if few else needed, "id", "left_semi").mapInArrow(lambda it: _sets(it, k), f"id {kind}, shingles array<long>"), "sets")
-    both = close.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    both = pairs.join(keys.select(F.col("rep").alias("a"), F.col("keys").alias("x")).hint("merge"), "a").join(keys.select(F.col("rep").alias("b"), F.col("keys").alias("y")).hint("merge"), "b")
+    close, found = counted(both.where(f"size(array_intersect(x, y)) >= {_needed(threshold)[1]}").select("a", "b"), "close")
+    if not found["n"]:
+        unstaged(close)
+        return None
+    needed, found = counted(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    needed_ = F.broadcast(needed) if found["n"] <= broadcast_rows else needed.hint("merge")  # 8 MB of ids at most; else both sides are dealt by id
+    sets = staged(source.join(needed_, "id", "left_semi").mapInArrow(lambda it: _sets(it, k), f"id {kind}, shingles array<long>"), "sets")
+    both = close.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
     common = F.size(F.array_intersect("x", "y"))
-    linked = staged(both.where(threshold[1] * common >= threshold[0] * (F.size("x") + F.size("y") - common)).select("a", "b"), "linked")
+    linked, found = counted(both.where(threshold[1] * common >= threshold[0] * (F.size("x") + F.size("y") - common)).select("a", "b"), "linked")
     for t in (close, needed, sets):
         unstaged(t)
     free_shuffles(spark)
-    return linked
+    return linked if found["n"] else None
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, hints: int = 500_000, boundary: int | None = None, rounds: int = 3) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD, hints: int = 500_000, boundary: int | None = None, rounds: int = 2, chunk: int = 512) -> DataFrame:
     """Per row of docs: id, n_shingles, component (the smallest id reachable by links).
 
     hints: so many of the most frequent shingles at most are put last in the order of the lists; others only make longer lists.
     boundary: the largest light size, by cost if not given. rounds: pivots tried for each list before its rest is compared.
+    chunk: members of an open list that one join key holds; longer lists are joined chunk by chunk, in as many tasks.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -273,62 +297,69 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     shipped = spark.sparkContext.broadcast(frequent)
 
     rows = sketch.where("n >= 0").select("id", "n", "s1", "s2")
-    equal = staged(rows.where("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "equal")
-    member = staged(rows.join(equal, ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "member")
+    equal = rows.where("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    member = staged(rows.join(equal.hint("merge"), ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "member")
     unstaged(sketch)
 
     listed = source.where("id is not null").mapInArrow(lambda it: _entries(it, shingle, boundary, shipped.value, threshold), f"key long, id {kind}, light int")
     several = staged(listed.groupBy("key", "light").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "lists")
     free_shuffles(spark)
     reps = member.where("id is not null and n > 0").select("id", "rep", "n")
-    entries = staged(listed.join(several.hint("shuffle_hash"), ["key", "light"]).join(reps, "id").groupBy("key", "light", "rep", "n").agg(F.count(F.lit(1)).alias("k")).drop("k"), "entries")
+    entries = listed.join(several.hint("shuffle_hash"), ["key", "light"]).join(reps.hint("shuffle_hash"), "id")
+    entries = staged(entries.groupBy("key", "light", "rep", "n").agg(F.count(F.lit(1)).alias("k")).drop("k"), "entries")
     unstaged(several)
     free_shuffles(spark)
 
+    label = staged(entries.select("rep", "n").distinct().withColumn("comp", F.col("rep")), "label")  # all that can link
     small_sets = entries.where("light > 0")
     first = small_sets.groupBy("key", F.expr("light - n").alias("n")).agg(F.min("rep").alias("a"))  # n: the size that links with those holders
-    links = staged(small_sets.join(first, ["key", "n"]).where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "light-links")
+    links, found = counted(small_sets.join(first.hint("merge"), ["key", "n"]).where("rep != a").select("a", F.col("rep").alias("b")).distinct(), "light-links")
+    if found["n"]:
+        label = merged(label, links)
     heavy = staged(entries.where("light = 0").select("key", "rep", "n"), "heavy")
     keys = staged(heavy.groupBy("rep").agg(F.collect_list("key").alias("keys")), "keys")  # at most a prefix each
-    vertices = reps.where("id = rep").select("rep", "n").distinct()
-    unstaged(entries)
+    for t in (entries, links):
+        unstaged(t)
+
+    def placed() -> DataFrame:
+        return staged(heavy.join(label.select("rep", "comp").hint("merge"), "rep").select("key", "rep", "n", "comp"), "placed")
 
-    tried = None
-    comps = components(links, "components")
     for t in range(rounds):
-        label = comps.select(F.col("v").alias("rep"), F.col("c").alias("comp"))
-        heads = heavy.groupBy("key").agg(F.min("rep").alias("pivot") if not t else F.min_by("rep", F.xxhash64("rep", F.lit(t))).alias("pivot"))
-        pairs = heavy.join(heads, "key").where("rep != pivot").groupBy("rep", "pivot").agg(F.first("n").alias("n"))
-        sized = vertices.join(label, "rep", "left").select(F.col("rep").alias("pivot"), F.col("n").alias("n2"), F.coalesce("comp", "rep").alias("comp2"))
-        pairs = pairs.join(sized, "pivot").where(fits).join(label, "rep", "left").where("coalesce(comp, rep) != comp2")
-        pairs = pairs.groupBy(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        found = _verified(source, pairs, keys, shingle, threshold)
-        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
-        links = links.union(found)
-        comps = components(links, "components")
-
-    label = comps.select(F.col("v").alias("rep"), F.col("c").alias("comp"))
-    placed = heavy.join(label, "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-    weight = vertices.join(label, "rep", "left").groupBy(F.coalesce("comp", "rep").alias("comp")).agg(F.count(F.lit(1)).alias("w"))
-    placed = staged(placed.join(weight, "comp"), "placed")
-    lists = placed.groupBy("key").agg(F.max(F.struct("w", "comp")).alias("main"), F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    opened = staged(placed.join(staged(lists.select("key", "main", "size"), "open-lists"), "key"), "open")
-    unstaged(placed)
+        now = placed()
+        head = F.struct("rep", "n", "comp")
+        lists = now.groupBy("key").agg((F.min_by(head, F.xxhash64("rep", F.lit(t))) if t else F.min(head)).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+        pairs = now.join(lists.select("key", "p.comp", "p.rep", "p.n").toDF("key", "comp2", "pivot", "n2").hint("merge"), "key").where(f"comp != comp2 and {fits}")
+        pairs, found = counted(pairs.groupBy(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2")), "pairs")
+        linked = _verified(source, pairs, keys, shingle, threshold) if found["n"] else None
+        unstaged(now)
+        unstaged(pairs)
+        if linked is None:
+            break
+        label = merged(label, linked)
+        unstaged(linked)
+
+    now = placed()
+    weight = label.groupBy("comp").agg(F.count(F.lit(1)).alias("w"))
+    now = staged(_with_component(now, weight), "placed")
+    lists = now.groupBy("key").agg(F.max(F.struct("w", "comp")).alias("main"), F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
+    opened, found = counted(now.join(lists.select("key", "main", "size").hint("merge"), "key"), "open")
+    unstaged(now)
     free_shuffles(spark)
-    # of two components the lighter one's member looks for the other's, in so many of its shortest lists as must hold a common entry
-    mine = Window.partitionBy("rep")
-    outside = opened.withColumn("nth", F.row_number().over(mine.orderBy("size", "key"))).withColumn("held", F.count(F.lit(1)).over(mine)).where("comp != main.comp").drop("main", "size")
-    inside = opened.select(F.col("key").alias("key2"), F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("w").alias("w2"))
-    cross = outside.join(inside, F.expr(f"key = key2 and comp != comp2 and (w < w2 or w = w2 and comp < comp2) and {fits} and nth <= held + 1 - {shared}"))
-    rest = cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2")).join(tried, ["a", "b"], "left_anti")
-    rest = staged(rest, "rest")
-    unstaged(opened)
+    if found["n"]:
+        # of two components the lighter one's member looks for the other's, in so many of its shortest lists as must hold a common entry
+        mine, parts = Window.partitionBy("rep"), F.ceil(F.col("size") / chunk).cast("int")
+        outside = opened.withColumn("nth", F.row_number().over(mine.orderBy("size", "key"))).withColumn("held", F.count(F.lit(1)).over(mine))
+        outside = outside.where("comp != main.comp").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("main", "size")
+        inside = opened.select("key", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("w").alias("w2"))
+        cross = outside.join(inside.hint("merge"), ["key", "part"]).where(f"comp != comp2 and (w < w2 or w = w2 and comp < comp2) and {fits} and nth <= held + 1 - {shared}")
+        rest, found = counted(cross.groupBy(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).agg(F.max("n").alias("n"), F.min("n2").alias("n2")), "rest")
+        linked = _verified(source, rest, keys, shingle, threshold) if found["n"] else None
+        if linked is not None:
+            label = merged(label, linked)
+    for t in (opened, heavy, keys):
+        unstaged(t)
     free_shuffles(spark)
-    final = components(links.union(_verified(source, rest, keys, shingle, threshold)), "components") if rest.limit(1).count() else comps
-    return member.join(final.select(F.col("v").alias("rep"), F.col("c").alias("comp")), "rep", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.expr("if(n > 0, coalesce(comp, rep), id)").alias("component"))
+    return member.join(label.select("rep", "comp").hint("merge"), "rep", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.expr("if(n > 0, coalesce(comp, rep), id)").alias("component"))
 
 
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
