@@ -93,7 +93,7 @@ def shingle_sets(texts: list[bytes], k: int = SHINGLE) -> tuple[np.ndarray, np.n
     length = np.minimum(k, np.repeat(n_words, n_words) - (np.arange(n) - start[doc]))
     for j in range(k):
         use = length > j
-        moved = np.concatenate((h[j:], np.zeros(j, np.uint64)))
+        moved = np.concatenate((h[j:], np.zeros(min(j, n), np.uint64)))
         out = np.where(use, _mix(out * _U(0x9E3779B97F4A7C15) + moved + _U(j + 1)), out)
     keep = (length == k) | ((np.arange(n) == start[doc]) & (n_words[doc] < k))
     out, doc = out[keep], doc[keep]
