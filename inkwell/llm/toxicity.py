@@ -137,14 +137,23 @@ def evidence(segs: list[tuple[int, int, float]], n: int, lam: float, k: float) -
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-penalised weights by Newton steps; the first column is the constant."""
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-2] * (x.shape[1] - 1))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+    """Ridge-penalised weights; the first column is the constant. Newton steps, halved until the penalised likelihood gains: it is concave, so they end at its only maximum,
+    also where the classes are fully parted."""
+    ridge = np.array([1e-3] + [1e-1] * (x.shape[1] - 1))
+    loss = lambda w: float(np.logaddexp(0, x @ w).sum() - y @ (x @ w) + 0.5 * (ridge * w * w).sum())
+    w = np.zeros(x.shape[1])
+    now = loss(w)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        slope = x.T @ (y - p) - ridge * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), slope)
+        size = 1.0
+        while size > 1e-9 and not loss(w + size * step) < now:
+            size /= 2
+        if size <= 1e-9 or slope @ step < 1e-9:
             break
+        w = w + size * step
+        now = loss(w)
     return w
 
 
