@@ -29,7 +29,7 @@ from .common import chunks, raw, staged
 
 WINDOW = 13
 SAMPLE = 8
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _END = b"\xff"  # never part of UTF-8
@@ -199,28 +199,23 @@ def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+_KEYS = ["id", "n_words", "n_hit", "item_ids", "spans"]
 
 
-def _hits(source: DataFrame, block, by_text: bool) -> DataFrame:
-    """Per row of source (id, text): what one block of the benchmark marks. by_text: a hash of the text too, and only rows with a mark."""
-    kind = source.schema["id"].dataType.simpleString()
+def _result(ids: pa.Array, texts: list[bytes], hits: list[np.ndarray], items: list[list[str]]) -> pa.RecordBatch:
+    """A row per document from the marks of its words."""
+    n_hit = [int(h.sum()) for h in hits]
+    spans = [_spans(t, h) if n else [] for t, h, n in zip(texts, hits, n_hit, strict=True)]
+    return pa.RecordBatch.from_arrays([ids, pa.array([len(h) for h in hits], pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN)], _KEYS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text", SHARD_BYTES):
-            texts = raw(part, "text")
-            n_words, hit, doc, items = search(texts, block.value)
-            at = np.concatenate(([0], np.cumsum(n_words)))
-            runs = [[] for _ in texts]
-            for i in np.unique(doc[hit]):
-                own = hit[at[i] : at[i + 1]].astype(np.int8)
-                change = np.flatnonzero(np.diff(np.concatenate(([0], own, [0]))))
-                runs[i] = [{"start": int(x), "end": int(y)} for x, y in zip(change[::2], change[1::2], strict=True)]
-            columns = [part.column("id"), pa.array(n_words, pa.int64()), pa.array(runs, _SPAN), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*columns, part.column("h" if by_text else "text")], ["id", "n_words", "runs", "item_ids", "h" if by_text else "text"])
 
-    rows = source.withColumn("h", F.xxhash64("text")) if by_text else source
-    out = rows.mapInArrow(run, f"id {kind}, n_words long, runs array<struct<start:int,end:int>>, item_ids array<string>, {'h long' if by_text else 'text string'}")
-    return out.where("size(runs) > 0") if by_text else out
+def _marked(batches: Iterator[pa.RecordBatch], block) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[np.ndarray], list[list[str]]]]:
+    """For slices of (id, text, ...): texts, the marks of their words and their items in one block of the benchmark."""
+    for part in chunks(batches, "text", SHARD_BYTES):
+        texts = raw(part, "text")
+        n_words, hit, _, items = search(texts, block.value)
+        at = np.concatenate(([0], np.cumsum(n_words)))
+        yield part, texts, [hit[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], [sorted(x) for x in items]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = 64 << 20) -> DataFrame:
@@ -235,36 +230,43 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     n = max(1, -(-int(total) // block_bytes))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    parts = []
-    for b in range(n):
+    out_type = f"id {kind}, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>"
+
+    def shipped(b: int):
         part = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) if n > 1 else bench
-        block = spark.sparkContext.broadcast(compile_items([(r.i, r.t.encode()) for r in part.toLocalIterator()], window))
-        found = _hits(source, block, n > 1)
-        parts.append(staged(found, "marks") if n > 1 else found)
-        if n > 1:
-            block.destroy()
+        return spark.sparkContext.broadcast(compile_items([(r.i, r.t.encode()) for r in part.toLocalIterator()], window))
+
     if n == 1:
-        marked = parts[0]
+        block = shipped(0)
+        out = source.mapInArrow(lambda it: (_result(p.column("id"), t, h, i) for p, t, h, i in _marked(it, block)), out_type)
     else:
+        parts, hashed = [], source.withColumn("h", F.xxhash64("text"))
+        for b in range(n):
+            block = shipped(b)
+
+            def one(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+                for part, _, hits, items in _marked(batches, block):
+                    some = [i for i, h in enumerate(hits) if h.any()]
+                    edges = [np.flatnonzero(np.diff(np.concatenate(([0], hits[i].astype(np.int8), [0])))) for i in some]
+                    runs = [[{"start": int(x), "end": int(y)} for x, y in zip(e[::2], e[1::2], strict=True)] for e in edges]
+                    pick = pa.array(some, pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column("id").take(pick), part.column("h").take(pick), pa.array(runs, _SPAN), pa.array([items[i] for i in some], pa.list_(pa.string()))], ["id", "h", "runs", "item_ids"])
+
+            parts.append(staged(hashed.mapInArrow(one, f"id {kind}, h long, runs array<struct<start:int,end:int>>, item_ids array<string>"), "marks"))
+            block.destroy()
         every = reduce(DataFrame.union, parts).groupBy(F.struct("id", "h").alias("k")).agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
-        keyed = source.withColumn("k", F.struct("id", F.xxhash64("text").alias("h")))  # equal rows have equal marks
-        marked = keyed.join(every, "k", "left").select("id", F.lit(None).cast("long").alias("n_words"), "runs", "item_ids", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text", SHARD_BYTES):
-            texts, known = raw(part, "text"), part.column("n_words").to_pylist()
-            n_words, n_hit, spans = [], [], []
-            for text, size, runs in zip(texts, known, part.column("runs").to_pylist(), strict=True):
-                hit = np.zeros(size if size is not None else len(words(text)), bool)
-                for r in runs or ():
-                    hit[r["start"] : r["end"]] = True
-                n_words.append(len(hit))
-                n_hit.append(int(hit.sum()))
-                spans.append(_spans(text, hit) if n_hit[-1] else [])
-            items = [x or [] for x in part.column("item_ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN)], ["id", "n_words", "n_hit", "item_ids", "spans"])
-
-    out = marked.mapInArrow(run, f"id {kind}, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:int,end:int>>")
+        merged = hashed.withColumn("k", F.struct("id", "h")).join(every, "k", "left").select("id", "text", "runs", "item_ids")  # equal rows have equal marks
+
+        def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in chunks(batches, "text", SHARD_BYTES):
+                texts = raw(part, "text")
+                hits = [np.zeros(len(words(t)), bool) for t in texts]
+                for h, runs in zip(hits, part.column("runs").to_pylist(), strict=True):
+                    for r in runs or ():
+                        h[r["start"] : r["end"]] = True
+                yield _result(part.column("id"), texts, hits, [x or [] for x in part.column("item_ids").to_pylist()])
+
+        out = merged.mapInArrow(last, out_type)
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words")).withColumnRenamed("id", id_col)
 
 
