@@ -36,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_shuffles, joined, staged, table, unstaged
+from .common import chunks, free_shuffles, joined, staged, table, unstaged
 
 LENGTH = 100
 GRAM = 32
 BLOCK = 8
 SEGMENT = 1 << 18
+SLICE = 4 << 20  # bytes of text at a time
 _U = np.uint64
 
 
@@ -110,7 +111,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _rows(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chunks(batches, "text", SLICE):
         data, offsets = joined(batch, "text")
         for doc, start, n, off, g, n1, n2 in anchors(data, offsets, length, gram):
             yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(doc)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(off.astype(np.int16)), _signed(g), _signed(n1), pa.array(n2.astype(np.uint32).view(np.int32))], ["id", "start", "n", "off", "g", "n1", "n2"])
@@ -165,7 +166,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
 def _held(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of each listed neighbourhood."""
-    for batch in batches:
+    for batch in chunks(batches, "text", SLICE):
         data, offsets = joined(batch, "text")
         lists = batch.column("parts")
         row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -229,7 +230,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     per_doc = ranges.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches, "text", SLICE):
             out = []
             for text, found in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("ranges"), strict=True):
                 text = text or b""
