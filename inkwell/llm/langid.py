@@ -48,22 +48,20 @@ def text_vectors(texts: list[str], groups: np.ndarray | None = None, d: int = DI
     groups = np.arange(len(texts)) if groups is None else groups
     n_out = int(groups.max()) + 1 if len(groups) else 0
     lowered = [t.lower() for t in texts]
-    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    doc = np.repeat(np.arange(len(texts)), [len(t) + (i < len(texts) - 1) for i, t in enumerate(lowered)])
+    points = np.frombuffer("".join(f"{t}\n" for t in lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    doc = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])
     alpha = _letters()[points]
     some = np.zeros(n_out, bool)
     some[groups[doc[alpha]]] = True
     points = np.where(alpha, points, 0)
-    first = np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0))) & (np.concatenate(([True], doc[1:] == doc[:-1])) | alpha) if len(points) else np.zeros(0, bool)
-    points, doc = points[first], doc[first]
-    if len(points) < gram:
-        # too short for one n-gram of the whole slice: pad with boundaries
-        points, doc = np.concatenate((points, np.zeros(gram, np.int64))), np.concatenate((doc, np.full(gram, doc[-1] if len(doc) else 0)))
+    first = np.concatenate(([True], (points[1:] != 0) | (points[:-1] != 0))) & (np.concatenate(([False], doc[1:] == doc[:-1])) | alpha) if len(points) else np.zeros(0, bool)
+    # boundaries after the last text too, so that a text's n-grams do not depend on what follows it
+    points, doc = np.concatenate((points[first], np.zeros(gram - 1, np.int64))), np.concatenate((doc[first], np.full(gram - 1, len(texts))))
     letters, compact = np.unique(points, return_inverse=True)
     k = len(letters)
     n = len(points) - gram + 1
     owner = groups[doc[:n]]
-    # within one text: an n-gram may end with the boundary that closes the text, not go on into the next one
+    # within one text: the last sign of an n-gram may stand behind the text and is then a boundary, whatever follows
     inside = doc[gram - 1 :] == doc[:n]
     closing = ~inside & (doc[gram - 2 : len(points) - 1] == doc[:n])
     use = np.flatnonzero(inside | closing)
