@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, html_body, natural_key, occurrences, slug
 from ..operators import changes, integrity, metrics, narrative, review, rules, segment
-from . import delivery, korean, manuscript, publication, reviews
+from . import delivery, inspection, korean, manuscript, publication, reviews
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -288,6 +288,6 @@ SELECT * FROM b ANTI JOIN r USING (work, number)""",
     "delivery_hash": "SELECT doc_id, upper(sha256(text)) AS sha256, CAST(strlen(text) AS BIGINT) AS bytes FROM documents",
 }
 
-for _more in (manuscript, korean, reviews, delivery, publication):
+for _more in (manuscript, korean, reviews, delivery, publication, inspection):
     QUERIES |= _more.QUERIES
     ORACLES |= _more.ORACLES
