@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, lines_of
+from ..functions.text import INLINE, SPACE, lines_of
 from ..operators import catalog, reports, sourcecheck
 from . import manuscript
 from .reviews import _cycle, _sql
@@ -112,7 +112,29 @@ _NAME = _cycle("n_nationkey", _NAMES)
 _RUN_SQL = f"SELECT *, list_filter([{', '.join(f'CASE WHEN s{i} = {_q("pending")} THEN {_q(n)} END' for i, n in enumerate(catalog.STAGES))}], lambda x: x IS NOT NULL) AS pending FROM ({RUNS.replace('{orders}', 'orders')})"
 _PAD = lambda e: f"CASE WHEN {e} < 1000 THEN lpad(CAST({e} AS VARCHAR), 3, '0') ELSE CAST({e} AS VARCHAR) END"
 
+_SQUEEZE = lambda x: _TRIM(f"regexp_replace({x}, {_q(f'[{SPACE}]+')}, ' ', 'g')")
+
+
+def _clean(x: str) -> str:
+    out = f"regexp_replace({_TRIM(x)}, {_q(f'^#{{1,6}}[{INLINE}]*')}, '')"
+    out = f"regexp_replace(regexp_replace({out}, {_q(f'(?i)^(?:제목|작품명|타이틀|title)[{INLINE}]*[:：][{INLINE}]*')}, ''), {_q(f'^ⓚ[0-9]{{3}}[{INLINE}]*')}, '')"
+    out = _SQUEEZE(f"translate(regexp_replace({out}, {_q(r'\[[^\]]*\]|\([^)]*\)')}, '', 'g'), '_-', '  ')")
+    out = _TRIM(f"regexp_replace({out}, {_q(r'(?i)\b(final|draft|source|manuscript)\b')}, '', 'g')")
+    return _SQUEEZE(f"regexp_replace({out}, {_q(r'최종|수정\s*완|수정본|원고|합본|초기\s*원고')}, '', 'g')")
+
+
+_LINES = "CASE WHEN ends_with(text, chr(10)) OR text = '' THEN string_split(text, chr(10))[:-2] ELSE string_split(text, chr(10)) END"
+_TITLED = "(?i)^(?:제[ ]*)?[0-9]{1,4}[ ]*(?:화|회|장|편|챕터|chapter|ep(?:isode)?)(?:[ .:：_-].*)?$"
+_COUNT = "CAST((length(text) - length(replace(text, {0}, ''))) / length({0}) AS BIGINT)"
+_HEAD = "'ⓚ제1화' || chr(10) || 'a b' || chr(10)"
+
 ORACLES = {
+    "source_splits": f"""SELECT doc_id, CASE WHEN p > 0 THEN CAST(2 AS BIGINT) ELSE 0 END AS splits, CASE WHEN p > 0 THEN 3 + length(left(text, p)) - length(replace(left(text, p), chr(10), '')) || ',' || 4 + {_COUNT.format("chr(10)")} + {_COUNT.format("' und '")} ELSE '' END AS lines,
+  sha256(CASE WHEN p > 0 THEN {_HEAD} || rtrim(left(text, p - 1)) || chr(10) || 'ⓚ제2화' || chr(10) || replace(substr(text, p + 5), ' und ', ' 2화' || chr(10)) || chr(10) || 'x' || chr(10) || 'ⓚ제3화' ELSE {_HEAD} || text || chr(10) || 'x 3화 ' END || chr(10) || 'y 9화' || chr(10) || '/끝 4화 끝') AS sha256
+FROM (SELECT doc_id, text, strpos(text, ' und ') AS p FROM documents)""",
+    "title_inference": f"""
+SELECT doc_id, CASE WHEN c NOT IN ('', 'final draft', 'draft') AND NOT (regexp_matches(c, '^[0-9]{{1,4}}$') AND regexp_matches(lower(stem), '합본|원고|draft|source|manuscript')) THEN c ELSE coalesce(t, nullif(c, ''), 'untitled-work') END AS title
+FROM (SELECT doc_id, stem, {_clean("stem")} AS c, list_filter(list_transform(({_LINES})[1:80], lambda x: {_clean("x")}), lambda y: length(y) BETWEEN 2 AND 60 AND NOT regexp_matches(y, '^ⓚ?[0-9]{{1,4}}$') AND NOT regexp_matches(y, {_q(_TITLED)}) AND NOT regexp_matches(y, '[.다요죠]$'))[1] AS t FROM ({TITLES.replace("{documents}", "documents")}))""",
     "report_status": f"{_REPORT_SQL} SELECT k.n_nationkey, hangul, round(hangul / greatest(hangul + latin, 1), 3) AS korean_ratio, pairs, count(code) AS issues, count(code) = 0 AS ready FROM k JOIN p USING (n_nationkey) LEFT JOIN issues USING (n_nationkey) GROUP BY ALL",
     "report_issues": f"{_REPORT_SQL} SELECT * FROM issues",
     "source_blocked": f"""WITH {manuscript._HEADS}, n AS (SELECT doc_id, base, CAST(base AS INT) AS number FROM heads), lo AS (SELECT doc_id, unnest(generate_series(min(number), max(number))) AS number FROM n GROUP BY doc_id),
