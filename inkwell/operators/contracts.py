@@ -249,7 +249,10 @@ def validate_submissions(docs: DataFrame, keys: list[str]) -> DataFrame:
             F.when(need("total") & (~complete | behind | starts("total_consistency_report")), F.lit("total_consistency_report_not_complete")),
         )
     )
-    return rows.select(
+    out = F.struct(
         *keys, "profile", F.coalesce("status", F.lit("pending")).alias("status"), *[F.col(c).cast("long").alias(c) for c in ("reviewed_axes", "required_axes", "completed_passes", "required_passes")],
         F.coalesce(F.size("findings"), F.lit(0)).cast("long").alias("findings"), "issues", "ready", blockers.alias("blockers"),
     )
+    # Of a generator's columns no filter passes below it. In a plain projection a reader's filter (explode and inline bring one of their own) is written out in full at the scan, where
+    # each blocker holds all the issues again: the plan then outgrows the driver.
+    return rows.select(F.inline(F.array(out)))
