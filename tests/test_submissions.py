@@ -26,3 +26,10 @@ def test_issues_one_by_one(rows):
     want = {(r.k, i.field, i.message) for r in rows.collect() for i in r.issues}
     got = rows.select("k", F.inline("issues")).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want) and (0, "checked_axes", "must be an array") in want
+
+
+def test_blockers_one_by_one(rows):
+    df = rows.select("k", F.explode("blockers").alias("blocker"))
+    assert [x for x in filters(df) if len(x) > 120] == []
+    want = sorted((r.k, b) for r in rows.collect() for b in r.blockers)
+    assert sorted(map(tuple, df.collect())) == want and (0, "manual_review_axes_not_complete") in want and {k for k, _ in want} == {0, 1, 2}
