@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def _ranges(codes: list[int]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return out
+
+
 #: White space as members of a character class, for Java and RE2 alike: within a line, and with the line feed and carriage return.
 INLINE = "\t\x0b\x0c\x1c-\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = INLINE + "\r\n"
+#: The space signs, which part words and no lines; as single characters.
+SPACES = " \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+#: Letters whose upper case is more than one letter (ß: SS); few ranges, since a class is tried range by range.
+GROWING = "".join(f"{chr(a)}-{chr(b)}" for a, b in _ranges([c for c in range(0x10000) if len(chr(c).upper()) > 1]))
 
 
 def strip(text: Column) -> Column:
@@ -15,6 +30,17 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+\\z", "")
 
 
+def upper_each(text: Column) -> Column:
+    """Upper case, a letter for a letter, to look for terms in; a letter whose upper case is several gives a sign that is in no term."""
+    return F.upper(F.regexp_replace(text, f"[{GROWING}]", "\u0001"))
+
+
+def round_at(value: Column, digits: int) -> Column:
+    """Rounded half away from zero, as value * 10^digits stands in binary: 0.525 / 14 * 12, a hair below 0.45, gives 0.5 and not, by its decimal digits, 0.4."""
+    scale = F.lit(10.0**digits)
+    return F.round(value * scale, 0) / scale
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once however often body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

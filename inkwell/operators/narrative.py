@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_inline, lines_of, unescape_common
+from ..functions.text import SPACES, clean_inline, lines_of, unescape_common, upper_each
 from . import rules
 from .segment import lines
 
-BRACKETS = r"^\[[^\]\n]{1,160}\]$"
+BRACKETS = r"^\[[^\]\n]{1,160}\]\z"
 
 
 def _among(terms: tuple[str, ...], *places: Column) -> Column:
@@ -20,25 +21,26 @@ def _among(terms: tuple[str, ...], *places: Column) -> Column:
     return F.array_compact(F.array(*[F.when(reduce(or_, [F.contains(p, F.lit(t.upper())) for p in places]), F.lit(t)) for t in terms]))
 
 
-def bracket_lines(docs: DataFrame, text: str = "text", radius: int = 3) -> DataFrame:
+def bracket_lines(docs: DataFrame, text: str = "text", radius: int = 3, split: Callable[[Column], Column] = lines_of) -> DataFrame:
     """A row per line that is one bracket: columns of docs without the text, line_no, body, classification, blocks, confidence, terms.
 
     The neighbours are the nearest `radius` lines on each side that are not blank, from the same row, so nothing is shuffled. Notes to oneself block, text of
-    screens and papers inside the story does not, anything else blocks until it is read. Terms are compared in upper case; null texts have no rows."""
-    kept = F.filter(F.transform(lines_of(F.col(text)), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(x).alias("line"))), lambda x: x.line != "")
+    screens and papers inside the story does not, anything else blocks until it is read. Terms are compared in upper case, a letter for a letter (no SS in ß); null texts have no rows.
+    split cuts a text into lines; any of Unicode's spaces go at their ends."""
+    kept = F.filter(F.transform(split(F.col(text)), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(x, F.lit(SPACES)).alias("line"))), lambda x: x.line != "")
     rows = docs.select(*[c for c in docs.columns if c != text], kept.alias("_kept"))
     near = F.transform("_kept", lambda x, i: F.struct(x.line_no.alias("line_no"), x.line.alias("line"), F.when(x.line.rlike(BRACKETS), F.concat(
         F.slice("_kept", F.greatest(i + 1 - radius, F.lit(1)), F.least(i, F.lit(radius))), F.slice("_kept", i + 2, radius))).alias("near")))
     rows = rows.withColumn("_m", F.explode(F.filter(near, lambda x: x.near.isNotNull()))).drop("_kept")
-    body = F.trim(F.regexp_extract("_m.line", r"^\[(.*)\]$", 1))
-    around = F.upper(F.array_join(F.transform("_m.near", lambda x: x.line), "\n"))
-    rows = rows.withColumn("_notes", _among(rules.NOTE_TERMS, F.upper(body), around)).withColumn("_screen", _among(rules.SCREEN_TERMS, around)).withColumn("_head", _among(rules.HEADLINE_TERMS, F.upper(body)))
+    body = F.trim(F.regexp_extract("_m.line", r"(?s)^\[(.*)\]\z", 1), F.lit(SPACES))
+    rows = rows.withColumn("_body", upper_each(body)).withColumn("_around", upper_each(F.array_join(F.transform("_m.near", lambda x: x.line), "\n")))
+    rows = rows.withColumn("_notes", _among(rules.NOTE_TERMS, F.col("_body"), F.col("_around"))).withColumn("_screen", _among(rules.SCREEN_TERMS, F.col("_around"))).withColumn("_head", _among(rules.HEADLINE_TERMS, F.col("_body")))
     note, screen = F.size("_notes") > 0, F.size("_screen") > 0
     shown = screen | (F.size("_head") >= 2) | ((F.size("_head") >= 1) & body.rlike(rules.HEADLINE_SHAPE))
     kind = F.when(note, "authorial_or_editing_note").when(shown, "storyworld_artifact").otherwise("possible_stage_cue")
     terms = F.when(note, F.slice("_notes", 1, 5)).when(shown, F.concat(F.slice("_screen", 1, 4), F.slice("_head", 1, 4))).otherwise(F.array().cast("array<string>"))
     out = rows.select("*", F.col("_m.line_no").alias("line_no"), body.alias("body"), kind.alias("classification"), (note | ~shown).alias("blocks"), F.when(note | screen, "high").otherwise("medium").alias("confidence"), terms.alias("terms"))
-    return out.drop("_m", "_notes", "_screen", "_head")
+    return out.drop("_m", "_body", "_around", "_notes", "_screen", "_head")
 
 
 def is_subtitle(line: Column) -> Column:
