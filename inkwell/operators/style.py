@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import count_of, lines_of, sentences_of, strip
+from ..functions.text import count_of, lines_of, round_at, sentences_of, strip
 from . import metrics, rules
 
 _TALL = ("feature", "score", "weight", "value", "hits")
@@ -21,8 +21,8 @@ def density_features(docs: DataFrame, key: str, text: str = "text", most: int =
     for i, (name, (terms, weight, full)) in enumerate(rules.DENSITIES.items()):
         rows = rows.withColumn(f"c{i}", F.array(*[F.struct((-count_of(F.col(text), t)).alias("n"), F.lit(j).alias("j"), F.lit(t).alias("term")) for j, t in enumerate(terms)]))
         hits = -F.aggregate(f"c{i}", F.lit(0).cast("long"), lambda a, x: a + x.n)
-        rows = rows.withColumn(f"h{i}", hits).withColumn(f"v{i}", F.round(F.col(f"h{i}") / F.col("size_"), 3))
-        score = F.round(F.least(F.greatest(F.col(f"v{i}") / full * weight, F.lit(0.0)), F.lit(float(weight))), 1)
+        rows = rows.withColumn(f"h{i}", hits).withColumn(f"v{i}", round_at(F.col(f"h{i}") / F.col("size_"), 3))
+        score = round_at(F.least(F.greatest(F.col(f"v{i}") / full * weight, F.lit(0.0)), F.lit(float(weight))), 1)
         top = F.transform(F.slice(F.array_sort(F.filter(f"c{i}", lambda x: x.n < 0)), 1, most), lambda x: F.concat(x.term, F.lit(":"), (-x.n).cast("string")))
         structs.append(F.struct(F.lit(name).alias("feature"), score.alias("score"), F.lit(float(weight)).alias("weight"), F.col(f"v{i}").alias("value"), F.col(f"h{i}").alias("hits"), F.array_join(top, ",").alias("evidence")))
     return rows.select(key, F.inline(F.array(*structs)))
