@@ -2,7 +2,7 @@
 
 Pre-tokens are the white-space separated words behind the word mark. A task inserts those of a slice of its texts that it has not
 met before in a trie, once each. A node's forward score (best sum of piece scores of any way to cut the path to it, and with it
-the fewest pieces) depends on its ancestors only, so it is computed once for all pre-tokens that share the prefix; a pre-token's count is read
+the fewest pieces) depends on its ancestors only, so it is computed once for all pre-tokens that share the prefix, along a second trie, of the pieces from their ends; a pre-token's count is read
 at its terminal. Counts of pre-tokens met are kept in a bounded memo, then looked up and summed per text. No shuffle; the vocabulary has a fixed
 size.
 
@@ -48,7 +48,12 @@ def zipf(scores: dict[str, float], shift: float = SHIFT) -> dict[str, float]:
 class Vocabulary:
     def __init__(self, pieces: dict[str, float]):
         self.pieces = pieces
-        self.longest = max(map(len, pieces), default=1)
+        self.endings: dict = {}  # a trie of the pieces from their ends; "" holds the score
+        for p, score in pieces.items():
+            node = self.endings
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = score
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN
         self.memo: dict[str, int] = {}
 
@@ -62,38 +67,40 @@ class Vocabulary:
 
 
 class Trie:
-    """Of pre-tokens; each node holds (score, -pieces) of the best way to cut the path to it."""
+    """Of pre-tokens; each node holds the score of the best way to cut the path to it, and its pieces (the fewest of equal scores)."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.children: list[dict[str, int]] = [{}]
-        self.best: list[tuple[float, int]] = [(0.0, 0)]
+        self.score: list[float] = [0.0]
+        self.count: list[int] = [0]
 
     def insert(self, word: str) -> int:
         """The pieces of the word."""
-        node, path = 0, [0]
-        for i, c in enumerate(word, 1):
-            after = self.children[node].get(c)
+        node, scores, counts = 0, [0.0], [0]
+        children, endings, unknown = self.children, self.vocabulary.endings, self.vocabulary.unknown
+        for i, c in enumerate(word):
+            after = children[node].get(c)
             if after is None:
-                after = self.children[node][c] = len(self.children)
-                self.children.append({})
-                self.best.append(self._forward(word, i, path))
+                n = 1 if c < "\x80" else len(c.encode("utf-8", "replace"))
+                top, least = scores[i] + n * unknown, counts[i] + n
+                ending, j = endings.get(c), i
+                while ending is not None:  # pieces that end here, from the shortest
+                    s = ending.get("")
+                    if s is not None and (s := scores[j] + s) >= top and (s > top or counts[j] + 1 < least):
+                        top, least = s, counts[j] + 1
+                    if not j:
+                        break
+                    j -= 1
+                    ending = ending.get(word[j])
+                after = children[node][c] = len(children)
+                children.append({})
+                self.score.append(top)
+                self.count.append(least)
             node = after
-            path.append(node)
-        return -self.best[node][1]
-
-    def _forward(self, word: str, i: int, path: list[int]) -> tuple[float, int]:
-        v, best = self.vocabulary, self.best
-        score, count = best[path[i - 1]]
-        n = len(word[i - 1].encode("utf-8", "replace"))
-        top = (score + n * v.unknown, count - n)
-        for j in range(max(0, i - v.longest), i):
-            s = v.pieces.get(word[j:i])
-            if s is not None:
-                score, count = best[path[j]]
-                if (score + s, count - 1) > top:
-                    top = (score + s, count - 1)
-        return top
+            scores.append(self.score[node])
+            counts.append(self.count[node])
+        return counts[-1]
 
 
 def count_tokens(docs: DataFrame, *, vocabulary: str | dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

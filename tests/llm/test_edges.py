@@ -240,6 +240,16 @@ def test_unigram_scores_of_a_bpe_vocabulary():
     assert math.isclose(sum(map(math.exp, v.values())), 1.0) and v["a"] > v["b"] > v["ab"]
 
 
+def test_only_pieces_that_end_at_a_place_are_looked_at():
+    rng = random.Random(9)
+    pieces = {"▁": -2.0, "a": -1.0, "ab": -1.5, "aba": -2.5, "b" * 4000 + "c": -1.0, "é": -3.0}
+    trie, began = token_counts.Trie(token_counts.Vocabulary(pieces)), time.time()
+    assert trie.insert("▁" + "ab" * 4000) == 4001 and time.time() - began < 2
+    for _ in range(300):
+        word = "".join(rng.choice("abé日") for _ in range(rng.randint(0, 9)))
+        assert trie.insert("▁" + word) == token_counts.brute_force(word, pieces) if word else trie.insert("▁") == 1
+
+
 def test_counts_with_the_query_vocabulary_equal_brute_force(spark):
     import public_tokenizers
 
