@@ -13,8 +13,8 @@ The boundary is where the estimated cost of the subsets (their number over the h
 (frequent or not, hash): shingles that many documents share come last, so that lists stay short. Any order gives the same links.
 
 A list is not expanded into all pairs. Its pivot (the smallest class, then, in lists that are still open, others chosen by a hash) is compared with every
-other member; links found between components are contracted and make larger ones (star steps over the contracted links, never on the driver), and a list whose
-members are in one component is done. In what is left open, members of lighter components are compared with those of heavier ones, along so many of their shortest
+other member; links found between components are contracted and make larger ones (star steps over the contracted links; a checked count of at most ``FEW`` is merged
+on the driver, as each step takes several shuffles), and a list whose members are in one component is done. In what is left open, members of lighter components are compared with those of heavier ones, along so many of their shortest
 lists as must hold a common entry. All links between components are thus found, and no pair within one need be looked at: the components are exact.
 
 Before sets are compared, pairs must share as many entries as two linked sets of these sizes share at least in their prefixes; few others are left.
@@ -40,6 +40,7 @@ from .common import chunks, counted, free_shuffles, raw, staged, table, unstaged
 
 SHINGLE = 4
 THRESHOLD = (85, 100)
+FEW = 100_000  # edges between components: 1.6 MB
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = b" \t\n\x0b\x0c\r"
 _END = 0x20
@@ -161,6 +162,27 @@ def stars(edges: DataFrame, name: str) -> DataFrame:
         before = found
 
 
+def few_roots(edges: DataFrame) -> DataFrame:
+    """stars() of few staged edges with whole numbers, on the driver: one table instead of some shuffles a step."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = up = root[up]
+            x = up
+        return x
+
+    got = edges.select("u", "v").toArrow()
+    for u, v in zip(got.column("u").to_pylist(), got.column("v").to_pylist(), strict=True):
+        x, y = sorted((find(u), find(v)))
+        root[y] = x
+    moved = [x for x in root if find(x) != x]
+    rows = pa.Table.from_arrays([pa.array(moved, got.schema.field("u").type), pa.array([find(x) for x in moved], got.schema.field("v").type)], names=["u", "v"])
+    out = staged(edges.sparkSession.createDataFrame(rows, edges.select("u", "v").schema), "roots")
+    unstaged(edges)
+    return out
+
+
 def _with_component(rows: DataFrame, of: DataFrame, how: str = "inner", salts: int = 16) -> DataFrame:
     """rows joined with one row per comp: of a component with many rows each task gets a share, as the small side stands under every salt."""
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(salts)).cast("int"))
@@ -175,7 +197,8 @@ def merged(label: DataFrame, links: DataFrame, name: str = "label") -> DataFrame
     edges, found = counted(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
     if not found["n"]:
         return label
-    roots = stars(edges, "edges")
+    few = found["n"] <= FEW and edges.schema["u"].dataType.simpleString() in ("int", "bigint")
+    roots = few_roots(edges) if few else stars(edges, "edges")
     out = staged(_with_component(label, roots.select(F.col("u").alias("comp"), F.col("v").alias("root")), "left").select("rep", "n", F.coalesce("root", "comp").alias("comp")), name)
     for t in (label, roots):
         unstaged(t)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.llm import decontaminate, html_extract, jaccard_join, langid, packing, quality, substring_dedup, token_counts, topk, toxicity
+from inkwell.llm import common, decontaminate, html_extract, jaccard_join, langid, packing, quality, substring_dedup, token_counts, topk, toxicity
 
 DOCS = "doc_id long, text string"
 
@@ -232,6 +232,26 @@ def test_blocks_of_the_benchmark_merge(spark):
     assert sorted(map(repr, decontaminate.decontaminate(d, b, block_bytes=300).collect())) == one
 
 
+# -- near copies
+
+
+def test_few_links_are_merged_without_star_steps(spark, monkeypatch):
+    rng, stars = random.Random(4), jaccard_join.stars
+    links = [(rng.randrange(-50, 0), rng.randrange(0, 80)) for _ in range(70)] + [(i, i + 1) for i in range(100, 160)] + [(2**62, 2**62 + 1)]
+    ids = sorted({x for e in links for x in e} | {-99})
+    label = lambda: common.staged(spark.createDataFrame([(i, 9, i) for i in ids], "rep long, n long, comp long"), "label")
+    edges = common.staged(spark.createDataFrame(links, "a long, b long"), "links")
+    monkeypatch.setattr(jaccard_join, "FEW", -1)
+    want = sorted(map(tuple, jaccard_join.merged(label(), edges).collect()))
+    monkeypatch.setattr(jaccard_join, "FEW", 1000)
+    monkeypatch.setattr(jaccard_join, "stars", None)
+    assert sorted(map(tuple, jaccard_join.merged(label(), edges).collect())) == want and (160, 9, 100) in want and (-99, 9, -99) in want
+    monkeypatch.setattr(jaccard_join, "stars", stars)
+    named = lambda df: df.select(*[F.format_string("%03d", c).alias(c) if c != "n" else F.col(c) for c in df.columns])
+    texts = jaccard_join.merged(common.staged(named(label().where("rep between 0 and 200")), "label"), common.staged(named(edges.where("a between 0 and 200")), "links"))
+    assert {r.rep: r.comp for r in texts.collect()}["160"] == "100"
+
+
 # -- token counts
 
 
