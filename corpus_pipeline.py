@@ -3,7 +3,7 @@
 Each stage takes the rows that its predecessor kept and returns the columns of documents; the last returns packed pieces. Rejected: documents
 scored toxic; all but the smallest id of each group of near copies (five words, similarity 0.8 or more); bytes of 100-byte strings
 that stand earlier (a text keeps its other characters; one cut inside a character loses it whole); documents contaminated by a benchmark. Null ids,
-null and empty texts pass every stage and are packed as empty documents.
+null and empty texts pass every stage and are packed as empty documents. Each stage begins with the executors' heaps freed of what the stage before left there.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.llm.common import staged, table
+from inkwell.llm.common import free_heaps, staged, table
 from inkwell.llm.decontaminate import decontaminate
 from inkwell.llm.jaccard_join import jaccard_components
 from inkwell.llm.packing import byte_bpe, pack
@@ -27,11 +27,13 @@ def _with_row(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_heaps(spark)
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(_with_row(docs), model, id_col="row").where("score < 0.5").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_heaps(spark)
     found = jaccard_components(docs, shingle=5, threshold=(80, 100))
     later = staged(found.where("doc_id != component").select("doc_id").distinct(), "near-copies")
     few = later.count() <= BROADCAST_ROWS  # 8 MB of ids; else both sides are dealt by id
@@ -39,6 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_heaps(spark)
     whole = [c for c in docs.columns if c not in ("text", "n_chars")]
     out = remove_repeats(docs.withColumn("no_text", F.col("text").isNull()), as_text=True)
     text = F.when(~F.col("row.no_text"), F.col("kept"))
@@ -48,10 +51,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_heaps(spark)
     return decontaminate(_with_row(docs), table(spark, sf_dir, "benchmark"), id_col="row").where("not contaminated").select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    free_heaps(spark)
     return pack(docs, tokenizer=byte_bpe())
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, raw, staged
+from .common import chunks, frugal, raw, staged
 
 WINDOW = 13
 SAMPLE = 8
@@ -238,7 +238,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
 
     if n == 1:
         block = shipped(0)
-        out = source.mapInArrow(lambda it: (_result(p.column("id"), t, h, i) for p, t, h, i in _marked(it, block)), out_type)
+        out = source.mapInArrow(frugal(lambda it: (_result(p.column("id"), t, h, i) for p, t, h, i in _marked(it, block))), out_type)
     else:
         parts, hashed = [], source.withColumn("h", F.xxhash64("text"))
         for b in range(n):
@@ -252,7 +252,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                     pick = pa.array(some, pa.int64())
                     yield pa.RecordBatch.from_arrays([part.column("id").take(pick), part.column("h").take(pick), pa.array(runs, _SPAN), pa.array([items[i] for i in some], pa.list_(pa.string()))], ["id", "h", "runs", "item_ids"])
 
-            parts.append(staged(hashed.mapInArrow(one, f"id {kind}, h long, runs array<struct<start:int,end:int>>, item_ids array<string>"), "marks"))
+            parts.append(staged(hashed.mapInArrow(frugal(one), f"id {kind}, h long, runs array<struct<start:int,end:int>>, item_ids array<string>"), "marks"))
             block.destroy()
         every = reduce(DataFrame.union, parts).groupBy(F.struct("id", "h").alias("k")).agg(F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
         merged = hashed.withColumn("k", F.struct("id", "h")).join(every, "k", "left").select("id", "text", "runs", "item_ids")  # equal rows have equal marks
@@ -266,7 +266,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                         h[r["start"] : r["end"]] = True
                 yield _result(part.column("id"), texts, hits, [x or [] for x in part.column("item_ids").to_pylist()])
 
-        out = merged.mapInArrow(last, out_type)
+        out = merged.mapInArrow(frugal(last), out_type)
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words")).withColumnRenamed("id", id_col)
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, counted, free_shuffles, raw, staged, table, unstaged
+from .common import chunks, counted, free_shuffles, frugal, raw, staged, table, unstaged
 
 SHINGLE = 4
 THRESHOLD = (85, 100)
@@ -211,9 +211,11 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int, flush: int = 6_000_000, l
     seen: list[np.ndarray] = []
 
     def counted() -> tuple[np.ndarray, np.ndarray]:
-        h, c = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        h = np.concatenate(seen) if seen else np.zeros(0, np.uint64)
         seen.clear()
-        return h[c >= least], c[c >= least]
+        h.sort()
+        often = np.unique(h[least - 1 :][h[least - 1 :] == h[: max(0, len(h) - least + 1)]])  # few: no array of all distinct ones and their counts
+        return often, np.searchsorted(h, often, side="right") - np.searchsorted(h, often)
 
     def rows(ids: pa.Array, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, hot=None) -> pa.RecordBatch:
         lists = [None] * len(n)
@@ -290,7 +292,7 @@ def _verified(source: DataFrame, pairs: DataFrame, keys: DataFrame, k: int, thre
         return None
     needed, found = counted(close.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
     needed_ = F.broadcast(needed) if found["n"] <= broadcast_rows else needed.hint("merge")  # 8 MB of ids at most; else both sides are dealt by id
-    sets = staged(source.join(needed_, "id", "left_semi").mapInArrow(lambda it: _sets(it, k), f"id {kind}, shingles array<long>"), "sets")
+    sets = staged(source.join(needed_, "id", "left_semi").mapInArrow(frugal(lambda it: _sets(it, k)), f"id {kind}, shingles array<long>"), "sets")
     both = close.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).hint("merge"), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")).hint("merge"), "b")
     common = F.size(F.array_intersect("x", "y"))
     linked, found = counted(both.where(threshold[1] * common >= threshold[0] * (F.size("x") + F.size("y") - common)).select("a", "b"), "linked")
@@ -312,7 +314,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     fits, shared = _needed(threshold)
 
-    sketch = staged(source.mapInArrow(lambda it: _sketch(it, shingle), f"id {kind}, n long, s1 long, s2 long, hot array<long>, hot_n array<long>"), "sketch")
+    sketch = staged(source.mapInArrow(frugal(lambda it: _sketch(it, shingle)), f"id {kind}, n long, s1 long, s2 long, hot array<long>, hot_n array<long>"), "sketch")
     hot = sketch.where("hot is not null").select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).groupBy("x.hot").agg(F.sum("x.hot_n").alias("c")).orderBy(F.desc("c"), "hot").limit(hints)
     frequent = np.sort(hot.select("hot").toPandas()["hot"].to_numpy(np.int64).view(np.uint64))
     small = {r.n: r["count"] for r in sketch.where("n between 1 and 64").groupBy("n").count().collect()}
@@ -324,7 +326,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     member = staged(rows.join(equal.hint("merge"), ["s1", "s2", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), "member")
     unstaged(sketch)
 
-    listed = source.where("id is not null").mapInArrow(lambda it: _entries(it, shingle, boundary, shipped.value, threshold), f"key long, id {kind}, light int")
+    listed = source.where("id is not null").mapInArrow(frugal(lambda it: _entries(it, shingle, boundary, shipped.value, threshold)), f"key long, id {kind}, light int")
     several = staged(listed.groupBy("key", "light").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "lists")
     free_shuffles(spark)
     reps = member.where("id is not null and n > 0").select("id", "rep", "n")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, staged, table
+from .common import chunks, frugal, staged, table
 
 CAPACITY = 1024
 END_ID = 2
@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
                 [part.column("id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["id", "piece", "start", "length", "ids_crc32"]
             )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(frugal(run), f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 # -- the plan -----------------------------------------------------------------------------------------------------------------
@@ -311,7 +311,7 @@ def pack(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", text_col: s
                 offset[at] = r["offsets"][r["offset_at"][j] + q % r["per"][j]]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "piece", "start", "length", "ids_crc32")] + [pa.array(sequence), pa.array(offset)], ["id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    out = ranked.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    out = ranked.mapInArrow(frugal(run), f"id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col).withColumn("proved", F.lit(proved))
 
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, free_shuffles, joined, staged, table, unstaged
+from .common import chunks, free_shuffles, frugal, joined, staged, table, unstaged
 
 LENGTH = 100
 GRAM = 32
@@ -122,7 +122,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     spark = docs.sparkSession
     kind = docs.schema["id"].dataType.simpleString()
     known = docs.where("id is not null and octet_length(text) >= %d" % length)
-    found = known.mapInArrow(lambda it: _rows(it, length, gram), f"id {kind}, start int, n smallint, off smallint, g long, n1 long, n2 int")
+    found = known.mapInArrow(frugal(lambda it: _rows(it, length, gram)), f"id {kind}, start int, n smallint, off smallint, g long, n1 long, n2 int")
 
     # staged, so that it has an exchange of its own and Spark can split a frequent gram's rows in the join
     shared = staged(found.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"), "grams")
@@ -138,11 +138,11 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     unsettled = classes.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g")
     parts = classes.join(unsettled.hint("shuffle_hash"), "g").groupBy(F.col("first.id").alias("id")).agg(F.collect_list(F.struct(F.col("first.start").alias("start"), F.col("n").cast("int").alias("n"), F.col("off").cast("int").alias("off"))).alias("parts"))
-    held = staged(known.join(parts, "id").select("id", "text", "parts").mapInArrow(lambda it: _held(it, length), f"id {kind}, start int, n int, off int, held binary"), "held")
+    held = staged(known.join(parts, "id").select("id", "text", "parts").mapInArrow(frugal(lambda it: _held(it, length)), f"id {kind}, start int, n int, off int, held binary"), "held")
     unstaged(classes)
     free_shuffles(spark)
 
-    blocks = held.mapInArrow(lambda it: _blocks(it, length, gram), f"id {kind}, base int, start int, n smallint, core long, n1 long, n2 int")
+    blocks = held.mapInArrow(frugal(lambda it: _blocks(it, length, gram)), f"id {kind}, base int, start int, n smallint, core long, n1 long, n2 int")
     cores = staged(blocks.groupBy("core").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("core"), "cores")
     live = staged(blocks.join(cores.hint("shuffle_hash"), "core"), "blocks")
     free_shuffles(spark)
@@ -155,7 +155,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     unsettled = classes.groupBy("core").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("core")
     last = classes.join(unsettled.hint("shuffle_hash"), "core").select(F.col("first.id").alias("id"), F.col("first.base").alias("base"), (F.col("first.start") - F.col("first.base")).alias("skip"), F.col("n").cast("int").alias("n"))
     with_bytes = last.join(held.select("id", F.col("start").alias("base"), "held"), ["id", "base"]).select("id", F.expr("base + skip").alias("start"), F.expr(f"substring(held, skip + 1, n + {length - 1})").alias("held"))
-    windows = staged(with_bytes.mapInArrow(lambda it: _windows(it, length, gram), f"id {kind}, start int, w1 long, w2 int"), "windows")
+    windows = staged(with_bytes.mapInArrow(frugal(lambda it: _windows(it, length, gram)), f"id {kind}, start int, w1 long, w2 int"), "windows")
     unstaged(classes)
     unstaged(held)
     free_shuffles(spark)
@@ -246,7 +246,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             cols = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), pa.array([k.decode("utf-8", "ignore") for k in cols[3]], pa.string()) if as_text else pa.array(cols[3], pa.binary())], ["id", "row", "n_bytes", "n_removed", "spans", "kept"])
 
-    out = rows.join(per_doc, "id", "left").select("id", "text", "row", "ranges").mapInArrow(cut, f"id {kind}, row {row_kind}, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept {'string' if as_text else 'binary'}")
+    out = rows.join(per_doc, "id", "left").select("id", "text", "row", "ranges").mapInArrow(frugal(cut), f"id {kind}, row {row_kind}, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>, kept {'string' if as_text else 'binary'}")
     return out.withColumnRenamed("id", id_col)
 
 

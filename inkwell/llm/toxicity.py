@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, staged, table
+from .common import chunks, frugal, staged, table
 
 SAMPLE_ROWS = 20_000
 SHORTEST, LONGEST = 3, 10
@@ -179,17 +179,24 @@ def train(rows: DataFrame) -> Model:
     if not n1 or not n0:
         return Model({}, 1.0, 1.0, np.zeros(3), n1 / max(1, n1 + n0))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch], most: int = 100_000) -> Iterator[pa.RecordBatch]:
         c1, c0 = Counter(), Counter()
-        for b in batches:
+
+        def counted() -> pa.RecordBatch:
+            names = list(c1.keys() | c0.keys())
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([c1[u] for u in names], pa.int64()), pa.array([c0[u] for u in names], pa.int64())], ["unit", "c1", "c0"])
+            c1.clear()
+            c0.clear()
+            return out
+
+        for b in chunks(batches, "text", 1 << 20):
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
                 (c1 if y else c0).update(units(set(_WORD.findall((text or "").lower()))))
-        names = list(c1.keys() | c0.keys())
-        for i in range(0, len(names), 50_000):
-            part = names[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([c1[u] for u in part], pa.int64()), pa.array([c0[u] for u in part], pa.int64())], ["unit", "c1", "c0"])
+            if len(c1) + len(c0) > most:  # parts of the counts; they are summed up after
+                yield counted()
+        yield counted()
 
-    totals = sample.mapInArrow(count, "unit string, c1 long, c0 long").groupBy("unit").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0")).where("c1 >= 3")
+    totals = sample.mapInArrow(frugal(count), "unit string, c1 long, c0 long").groupBy("unit").agg(F.sum("c1").alias("c1"), F.sum("c0").alias("c0")).where("c1 >= 3")
     got = totals.toPandas()  # bounded by the sample
     table = log_odds(dict(zip(got.unit, got.c1, strict=True)), dict(zip(got.unit, got.c0, strict=True)), n1, n0)
     # only beginnings and words that score, and words or longer beginnings under them that do not, make a difference
@@ -199,7 +206,7 @@ def train(rows: DataFrame) -> Model:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(shipped.value)
-        for b in batches:
+        for b in chunks(batches, "text", 1 << 20):
             out = []
             for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
                 words = _WORD.findall((text or "").lower())
@@ -208,7 +215,7 @@ def train(rows: DataFrame) -> Model:
                 out.append((y, len(words), [s for _, _, s in segs], list(hist), list(hist.values())))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64())), strict=True)] if out else [pa.array([], t) for t in (pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.int64()))], ["y", "n", "s", "v", "c"])
 
-    seen = sample.mapInArrow(scan, "y int, n long, s array<double>, v array<double>, c array<long>").collect()  # a row per text of the sample
+    seen = sample.mapInArrow(frugal(scan), "y int, n long, s array<double>, v array<double>, c array<long>").collect()  # a row per text of the sample
     hist: Counter = Counter()
     for r in seen:
         hist.update(dict(zip(r.v, r.c, strict=True)))
@@ -267,7 +274,7 @@ def score_toxicity(docs: DataFrame, model: Model, *, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(p), pa.array(passages, pa.list_(passage))], ["id", "score", "passages"])
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {kind}, score double, passages array<struct<start:int,stop:int,evidence:double>>").withColumnRenamed("id", id_col)
+    return source.mapInArrow(frugal(run), f"id {kind}, score double, passages array<struct<start:int,stop:int,evidence:double>>").withColumnRenamed("id", id_col)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: str, rows: int) -> DataFrame:

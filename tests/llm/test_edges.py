@@ -7,6 +7,7 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -347,3 +348,53 @@ def test_one_very_long_text(spark):
     assert {r.doc_id: r.n_words for r in decontaminate.decontaminate(docs, spark.createDataFrame([(1, "word1 word2")], "item_id long, text string")).collect()} == {1: 200_000, 2: 1, 3: 200_000}
     cut = {r.doc_id: (r.n_bytes, r.n_removed) for r in substring_dedup.remove_repeats(docs).collect()}
     assert cut[3] == (len(long), len(long)) and cut[2] == (5, 0)
+
+
+# -- memory of the executors
+
+
+def held_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) / 1024
+
+
+def test_a_worker_gives_its_memory_back_at_a_tasks_end():
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(50_000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(3_000)]  # 8 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+
+    def left(f):
+        common.give_back()
+        before = held_mb()
+        for _ in f(iter([batch])):
+            pass
+        return held_mb() - before
+
+    plain = lambda it: jaccard_join._sketch(it, 4)
+    assert left(common.frugal(plain)) < min(20, left(plain) / 2)
+
+
+def test_shared_shingles_and_their_counts():
+    texts = ["a b c d"] * 3 + ["e f g h"] * 2 + ["i j k l m"] * 4 + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+    for flush in (1, 6_000_000):
+        rows = [r for b in jaccard_join._sketch(iter([batch]), 4, flush=flush) for r in b.to_pylist()]
+        assert sorted(c for r in rows for c in r["hot_n"] or ()) == [3, 4, 4]
+
+
+def test_executors_collect_their_garbage(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "Mark" in b.getName())
+    before = full()
+    common.free_heaps(spark)
+    assert full() > before
+
+
+def test_toxic_units_are_counted_in_parts(spark):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(300)) for _ in range(1_200)]
+    rows = [(i, t + (" vile brute" if i % 4 == 0 else ""), i % 4 == 0) for i, t in enumerate(texts)]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], DOCS), spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    table = toxicity.toxicity_model(docs.coalesce(1), labels).table
+    assert table["vile"] > 0 and table == toxicity.toxicity_model(docs.repartition(6), labels).table
